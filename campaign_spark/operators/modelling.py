@@ -33,7 +33,7 @@ def prediction_points(df: DataFrame, key: str = "strategy_id", date_col: str = "
     splits = SPLITS if splits is None else splits
     arr = F.array(*[F.struct(F.lit(s).alias("split"), F.lit(o).alias("offset")) for s, o in splits])
     last = df.dropna(subset=[key]).groupBy(key).agg(F.max(date_col).alias("_last"))
-    return last.select(key, F.explode(arr).alias("_s")).select(
+    return last.select(key, "_last", F.explode(arr).alias("_s")).select(
         key, F.col("_s.split").alias("split"),
         F.date_sub(F.col("_last"), F.col("_s.offset")).alias("prediction_date"),
     ).where(F.col("prediction_date").isNotNull())

@@ -343,7 +343,7 @@ SELECT strategy_id, 'train' AS split, CAST(last_date - 14 AS DATE) AS prediction
 WHERE last_date IS NOT NULL
 UNION ALL SELECT strategy_id, 'validation', CAST(last_date - 7 AS DATE) FROM last WHERE last_date IS NOT NULL
 UNION ALL SELECT strategy_id, 'test', last_date FROM last WHERE last_date IS NOT NULL""",
-    "model_dataset": MODEL,
+    "model_dataset": f"WITH {MODEL}",
     "table_shapes": f"""WITH {CAMP}
 SELECT 'lineitem' AS table_name, COUNT(*) AS n_rows, 11 AS n_cols FROM lineitem
 UNION ALL SELECT 'orders', COUNT(*), 6 FROM orders
