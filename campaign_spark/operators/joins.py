@@ -30,7 +30,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
 def maybe_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when the row count is proven below ``max_rows``.
 
-    ``max_rows=None`` skips the check and leaves the strategy to Spark/AQE.
+    ``max_rows=None`` skips the check and leaves the strategy to Spark/AQE,
+    which broadcast only sides whose size is below the configured threshold.
     """
     if max_rows is not None and fits_broadcast(df, max_rows):
         return F.broadcast(df)
@@ -49,7 +50,10 @@ class Dimension:
     fact_key: str
     dim_key: str
     labels: dict[str, str] = field(default_factory=dict)
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
+    # None: Spark decides from the dimension's measured/estimated size
+    # (autoBroadcastJoinThreshold at planning, AQE at run time). An int:
+    # broadcast only if a bounded count proves at most that many rows.
+    max_broadcast_rows: int | None = None
 
 
 def star_join(fact: DataFrame, dims: list[Dimension], how: str = "left") -> DataFrame:

@@ -3,10 +3,14 @@
 Writing a stage to the shared checkpoint folder and reading it back cuts the
 lineage (a lost executor recomputes from the stage files, not from the raw
 inputs) and lets later steps reuse it, like a cache that survives restarts.
+A stage is written to a private attempt folder and then renamed into place,
+so a reader never sees a half-written stage and two concurrent builders do
+not corrupt each other (the loser's copy is discarded).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,20 +19,37 @@ from campaign_spark.session import scratch_path
 from campaign_spark.sources.sinks import write_parquet
 
 
-def stage_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed Spark write (``_SUCCESS``)."""
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    return p.getFileSystem(conf).exists(p)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p
+
+
+def stage_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a committed Spark write (``_SUCCESS``)."""
+    fs, p = _fs_path(spark, path.rstrip("/") + "/_SUCCESS")
+    return fs.exists(p)
 
 
 def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str,
                 refresh: bool = False) -> DataFrame:
     """Read the stage at ``path`` if committed, else build, write, re-read."""
-    if refresh or not stage_exists(spark, path):
-        write_parquet(build(), path)
-    return spark.read.parquet(path)
+    final = path.rstrip("/")
+    fs, final_p = _fs_path(spark, final)
+    if refresh and fs.exists(final_p):
+        fs.delete(final_p, True)
+    if not stage_exists(spark, final):
+        attempt = f"{final}.attempt-{uuid.uuid4().hex}"
+        write_parquet(build(), attempt)
+        _, attempt_p = _fs_path(spark, attempt)
+        fs.mkdirs(final_p.getParent())
+        if not fs.rename(attempt_p, final_p):
+            # Someone else committed first: keep theirs, drop ours.
+            fs.delete(attempt_p, True)
+            if not stage_exists(spark, final):
+                raise RuntimeError(f"could not commit stage {final}")
+    return spark.read.parquet(final)
 
 
 def stage_path(spark: SparkSession, *parts: str) -> str:
