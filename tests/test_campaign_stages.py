@@ -131,3 +131,28 @@ def test_jdbc_options_without_database(spark):
     import pytest
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none", table="t", query="select 1")
+
+
+def test_inferred_csv_and_typed_table_load(spark):
+    from campaign_spark.schemas import BUSINESS_VERTICAL
+    from campaign_spark.sources import load_csv_table, read_csv_inferred
+
+    folder = _csv_folder(spark)
+    inferred = read_csv_inferred(spark, f"{folder}/camp_data.csv")
+    types = dict(inferred.dtypes)
+    assert types["strategy_id"] == "int" and types["total_spend_cpm"] == "double"
+    assert types["captured_date"] == "date"
+    tbl = load_csv_table(spark, f"{folder}/business_vertical.csv", BUSINESS_VERTICAL, "bv_" + uuid.uuid4().hex[:8])
+    assert rows(tbl) == [(1, "Finance"), (2, "Unknown")]
+
+
+def test_typed_csv_failfast_on_malformed(spark):
+    import pytest
+
+    from campaign_spark.schemas import COUNTRY
+    from campaign_spark.sources import read_csv
+
+    folder = scratch_path(spark, "bad_csv", uuid.uuid4().hex).replace("file:", "")
+    _write(f"{folder}/country.csv", "country_id,country\nx,Indonesia\n")
+    with pytest.raises(Exception):
+        read_csv(spark, f"{folder}/country.csv", COUNTRY).collect()
