@@ -25,8 +25,20 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
 
 
+def to_units(c: str | Column, scale: int = 4) -> Column:
+    """A money-like DOUBLE as an exact integer count of 10^-scale units
+    (rounded half up, like a cast to DECIMAL(p, scale))."""
+    return F.round(_col(c) * F.lit(10.0 ** scale)).cast("long")
+
+
+def from_units(units: str | Column, scale: int = 4) -> Column:
+    """Integer units back to a DOUBLE amount (correctly rounded quotient)."""
+    return _col(units).cast("double") / F.lit(10.0 ** scale)
+
+
 def exact_sum(c: str | Column, scale: int = 4) -> Column:
-    """Sum a money-like DOUBLE through DECIMAL so the total is exact and
-    independent of row order, then return it as DOUBLE (0.0 if all NULL)."""
-    dec = F.sum(_col(c).cast(f"decimal(18,{scale})"))
-    return F.coalesce(dec.cast("double"), F.lit(0.0))
+    """Sum a money-like DOUBLE exactly and independently of row order: the
+    values are added as integer units (BIGINT; ANSI mode raises on overflow
+    instead of wrapping), then returned as DOUBLE. Same result as summing
+    DECIMAL(18, scale) values, at the cost of a long sum. 0.0 if all NULL."""
+    return F.coalesce(from_units(F.sum(to_units(c, scale)), scale), F.lit(0.0))

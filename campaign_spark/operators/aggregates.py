@@ -30,8 +30,9 @@ def totals_by(
 ) -> DataFrame:
     """Sum each measure per group, NULL-key rows dropped, all-NULL sum = 0.0.
 
-    ``exact`` maps a measure to a decimal scale: that measure is summed as
-    DECIMAL (exact, order independent) and returned as DOUBLE.
+    ``exact`` maps a measure to a decimal scale: that measure is summed
+    exactly as integer units of 10^-scale (order independent, same total as a
+    DECIMAL sum) and returned as DOUBLE.
     """
     return df.dropna(subset=keys).groupBy(*keys).agg(*_sum_exprs(measures, exact))
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaign_spark.functions.ratios import RATIOS, safe_ratio
+from campaign_spark.functions.ratios import RATIOS, from_units, safe_ratio, to_units
 from campaign_spark.operators.joins import attach_group_value
 
 # Fixed split offsets in days before the last date.
@@ -59,7 +59,7 @@ def model_dataset(df: DataFrame, key: str = "strategy_id", date_col: str = "capt
     past = d < p
     future = (d > p) & (d <= F.date_add(p, label_days))
     has_future = F.max(F.col("_last")) > F.max(p)  # any date after p in this strategy
-    feats = [F.sum(F.when(past, F.col(spend).cast("decimal(18,4)"))).cast("double").alias(f"state_{spend}")]
+    feats = [from_units(F.sum(F.when(past, to_units(spend)))).alias(f"state_{spend}")]
     feats += [F.sum(F.when(past, F.col(m))).alias(f"state_{m}") for m in measures]
     feats += [F.count_if(past).alias("state_rows")]
     labels = [F.when(has_future, F.coalesce(F.sum(F.when(future, F.col(m))), F.lit(0.0))).alias(f"label_{m}")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaign_spark.functions.calendar import year_month_of, year_of
+from campaign_spark.functions.ratios import from_units, to_units
 from campaign_spark.operators.aggregates import totals_by, totals_by_sets
 from campaign_spark.operators.impute import cleanse
 from campaign_spark.operators.joins import Dimension, star_join
@@ -54,12 +55,12 @@ def strategy_running_totals(cleansed: DataFrame, strategy_id: int, tiebreak: lis
     one = cleansed.where(F.col("strategy_id") == F.lit(strategy_id))
     measures = ["impressions", "clicks"]
     if with_spend:
-        one = one.withColumn("_spend", F.col("total_spend_cpm").cast("decimal(18,4)"))
+        one = one.withColumn("_spend", to_units("total_spend_cpm"))
         measures.append("_spend")
     out = running_totals(one, RUNNING_KEYS, "captured_date", measures, tiebreak=tiebreak)
     if not with_spend:
         return out.select(*RUNNING_OUTPUT)
-    return out.withColumn("cpm_cumul", F.col("_spend_cumul").cast("double")).select(
+    return out.withColumn("cpm_cumul", from_units("_spend_cumul")).select(
         "captured_date", "impressions", "clicks", "total_spend_cpm", "impressions_cumul", "clicks_cumul",
         "cpm_cumul", "channel_name", "region")
 
