@@ -30,7 +30,7 @@ def impute_group_median(
     keys: list[str],
     cols: list[str],
     prefix: str = "median_",
-    method: str = "histogram",
+    method: str = "bucketed",
 ) -> DataFrame:
     """Fill NULLs of ``cols`` with the exact median of the row's ``keys`` group.
 
@@ -52,7 +52,7 @@ def cleanse(
     int_cols: list[str] | None = None,
     median_cols: list[str] | None = None,
     median_keys: list[str] | None = None,
-    method: str = "histogram",
+    method: str = "bucketed",
 ) -> DataFrame:
     """The cleansed campaign table: joined columns + ``median_*`` helpers.
 

@@ -1,22 +1,40 @@
 """Exact, linearly interpolated quantiles per group (median, quartiles).
 
-Plan: stack the measures into (keys, measure, value), count each distinct
-value per group with ``groupBy`` (map-side combine; the shuffle key includes
-the value, so a hot group is spread over many tasks), then walk each group's
-*histogram* in value order with a running count and pick the two ranks around
-``(n - 1) * p``. Only distinct values ever reach the windowed step, and the
-window operator sorts and spills instead of holding a hash map in memory,
-which is what Spark's built-in ``percentile`` does per group.
-
-Interpolation: ``v_lo + (h - floor(h)) * (v_hi - v_lo)`` with
-``h = (n - 1) * p`` (NumPy/pandas default). NULL and NaN values are skipped.
+Plan (``method="bucketed"``, the default):
+
+1. Stack the measures into (keys, measure, value) and count each distinct
+   value per group with ``groupBy`` (map-side combine; the shuffle key
+   includes the value, so a hot group is spread over many tasks).
+2. Split each group's distinct values into ~``buckets`` value ranges whose
+   boundaries come from ``percentile_approx`` over the distinct values (a
+   bounded-memory sketch merged across tasks). The sketch only decides how
+   the work is split; it never decides the answer.
+3. Count rows per (group, bucket), a small table, and find with a window
+   over it which bucket holds each target rank and how many rows precede it.
+4. Walk only those buckets in value order (a window per (group, bucket)) and
+   pick the values at ranks ``floor(h)`` and ``ceil(h)``, ``h = (n - 1) * p``.
+
+No task ever holds all the rows, or all the distinct values, of one group:
+the ordered walk sees about 1/``buckets`` of a group's distinct values.
+``method="window"`` skips steps 2-3 and walks each group's whole histogram in
+one window task (fewer stages; fine when groups have few distinct values).
+``method="builtin"`` is Spark's exact ``percentile`` (one in-memory value map
+per group). All three give the same numbers.
+
+Interpolation: ``v_lo + (h - floor(h)) * (v_hi - v_lo)`` (NumPy/pandas
+default). NULL and NaN values are skipped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+DEFAULT_BUCKETS = 64
+SKETCH_ACCURACY = 1_000
+
 
 def stack_measures(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Long form (keys..., measure, value) of the non-null, non-NaN values."""
@@ -31,14 +49,58 @@ def stack_measures(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame
     )
 
 
-def quantiles_long(
-    df: DataFrame, keys: list[str], cols: list[str], probs: list[float]
-) -> DataFrame:
-    """Exact quantiles as rows: keys..., measure, q0..q{k-1} (one per prob), n.
+def _rank_bounds(total: Column, p: float) -> tuple[Column, Column, Column]:
+    h = (total - F.lit(1)) * F.lit(float(p))
+    return F.floor(h), F.ceil(h), h - F.floor(h)
 
-    Groups with a NULL key are dropped (group-by semantics of the source
-    pipeline); a group whose values are all NULL yields no row.
-    """
+
+def _ranked_window(hist: DataFrame, part: list[str]) -> DataFrame:
+    """Every histogram row with its running count ``cum`` and group ``total``."""
+    ordered = Window.partitionBy(*part).orderBy("value")
+    return hist.select(
+        *part, "value",
+        F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
+        F.sum("n").over(Window.partitionBy(*part)).alias("total"),
+    )
+
+
+def _ranked_bucketed(hist: DataFrame, part: list[str], probs: list[float], buckets: int) -> DataFrame:
+    """Only the histogram rows of the buckets holding a target rank, with the
+    same ``cum`` / ``total`` as ``_ranked_window`` would give them."""
+    cuts = [i / buckets for i in range(1, buckets)]
+    bounds = hist.groupBy(*part).agg(
+        F.percentile_approx("value", F.array(*[F.lit(c) for c in cuts]), SKETCH_ACCURACY).alias("_bounds"))
+    value = F.col("value")
+    # One shuffle on (group, bucket) serves both the per-bucket counts and
+    # the ordered walk below (same partitioning, exchange reused).
+    bucketed = hist.join(bounds, part, "inner").select(
+        *part, "value", "n", F.size(F.filter("_bounds", lambda b: b < value)).alias("_bucket")
+    ).repartition(*part, "_bucket")
+
+    per_bucket = bucketed.groupBy(*part, "_bucket").agg(F.sum("n").alias("_bn"))
+    upto = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_bucket = per_bucket.select(
+        *part, "_bucket", "_bn",
+        (F.sum("_bn").over(upto) - F.col("_bn")).alias("_before"),
+        F.sum("_bn").over(Window.partitionBy(*part)).alias("total"),
+    )
+    before, size = F.col("_before"), F.col("_bn")
+    holds = []
+    for p in probs:
+        lo, hi, _ = _rank_bounds(F.col("total"), p)
+        holds += [(before <= lo) & (lo < before + size), (before <= hi) & (hi < before + size)]
+    targets = per_bucket.where(reduce(lambda a, b: a | b, holds)).select(*part, "_bucket", "_before", "total")
+
+    inside = Window.partitionBy(*part, "_bucket").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return bucketed.join(targets, [*part, "_bucket"], "inner").select(
+        *part, "value", (F.col("_before") + F.sum("n").over(inside)).alias("cum"), "total")
+
+
+def _ranked(df: DataFrame, keys: list[str], cols: list[str], probs: list[float], method: str,
+            buckets: int) -> DataFrame:
+    """Histogram rows (at least those around every target rank) with their
+    running count ``cum`` and group size ``total``, per (keys, measure)."""
     src = df.dropna(subset=keys) if keys else df
     part = [*keys, "measure"]
     hist = (
@@ -46,27 +108,40 @@ def quantiles_long(
         .groupBy(*part, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ordered = Window.partitionBy(*part).orderBy("value")
-    hist = hist.select(
-        *part, "value", "n",
-        F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
-        F.sum("n").over(Window.partitionBy(*part)).alias("total"),
-    )
-    aggs = [F.max("total").alias("n")]
-    for i, p in enumerate(probs):
-        h = (F.col("total") - F.lit(1)) * F.lit(float(p))
-        lo_rank, hi_rank = F.floor(h), F.ceil(h)
-        aggs += [
-            F.min(F.when(F.col("cum") > lo_rank, F.col("value"))).alias(f"_lo{i}"),
-            F.min(F.when(F.col("cum") > hi_rank, F.col("value"))).alias(f"_hi{i}"),
-            F.max(h - lo_rank).alias(f"_fr{i}"),
-        ]
-    picked = hist.groupBy(*part).agg(*aggs)
-    outs = []
-    for i in range(len(probs)):
-        lo, hi, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
-        outs.append(F.when(fr == 0, lo).otherwise(lo + fr * (hi - lo)).alias(f"q{i}"))
-    return picked.select(*part, *outs, "n")
+    if method == "window" or (method == "bucketed" and buckets < 2):
+        return _ranked_window(hist, part)
+    if method == "bucketed":
+        return _ranked_bucketed(hist, part, probs, buckets)
+    raise ValueError(f"unknown quantile method {method!r}")
+
+
+def _pick(p: float, when: Column | None = None) -> Column:
+    """Interpolated quantile ``p`` as an aggregate over ranked rows (restricted
+    to the rows where ``when`` holds, e.g. one measure)."""
+    lo, hi, frac = _rank_bounds(F.col("total"), p)
+    keep = (lambda c: c) if when is None else (lambda c: when & c)
+    v_lo = F.min(F.when(keep(F.col("cum") > lo), F.col("value")))
+    v_hi = F.min(F.when(keep(F.col("cum") > hi), F.col("value")))
+    fr = F.max(F.when(keep(F.lit(True)), frac))
+    return F.when(fr == 0, v_lo).otherwise(v_lo + fr * (v_hi - v_lo))
+
+
+def quantiles_long(
+    df: DataFrame,
+    keys: list[str],
+    cols: list[str],
+    probs: list[float],
+    method: str = "bucketed",
+    buckets: int = DEFAULT_BUCKETS,
+) -> DataFrame:
+    """Exact quantiles as rows: keys..., measure, q0..q{k-1} (one per prob), n.
+
+    Groups with a NULL key are dropped (group-by semantics of the source
+    pipeline); a group whose values are all NULL yields no row.
+    """
+    ranked = _ranked(df, keys, cols, probs, method, buckets)
+    return ranked.groupBy(*keys, "measure").agg(
+        *[_pick(p).alias(f"q{i}") for i, p in enumerate(probs)], F.max("total").alias("n"))
 
 
 def group_quantiles(
@@ -75,30 +150,25 @@ def group_quantiles(
     cols: list[str],
     prob: float,
     prefix: str,
-    method: str = "histogram",
+    method: str = "bucketed",
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """One quantile per measure as wide columns ``{prefix}{col}`` per group.
-
-    ``method="histogram"`` is the spill-safe plan above; ``"builtin"`` uses
-    Spark's exact ``percentile`` aggregate (same numbers, one in-memory value
-    map per group; fine when values per group are few).
-    """
+    """One quantile per measure as wide columns ``{prefix}{col}`` per group,
+    picked and pivoted in a single aggregation."""
     src = df.dropna(subset=keys) if keys else df
     if method == "builtin":
         return src.groupBy(*keys).agg(*[
             F.percentile(F.when(~F.isnan(c), F.col(c).cast("double")), F.lit(prob)).alias(prefix + c)
             for c in cols
         ])
-    if method != "histogram":
-        raise ValueError(f"unknown quantile method {method!r}")
-    long = quantiles_long(src, keys, cols, [prob])
-    return long.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("measure") == c, F.col("q0"))).alias(prefix + c) for c in cols
+    ranked = _ranked(src, keys, cols, [prob], method, buckets)
+    return ranked.groupBy(*keys).agg(*[
+        _pick(prob, F.col("measure") == F.lit(c)).alias(prefix + c) for c in cols
     ])
 
 
 def group_medians(
-    df: DataFrame, keys: list[str], cols: list[str], prefix: str = "median_", method: str = "histogram"
+    df: DataFrame, keys: list[str], cols: list[str], prefix: str = "median_", method: str = "bucketed"
 ) -> DataFrame:
     """Exact median of each measure per group (NULLs skipped, NULL keys dropped)."""
     return group_quantiles(df, keys, cols, 0.5, prefix, method)

@@ -13,7 +13,7 @@ def test_even_sized_median_interpolates(spark):
     assert out == {"a": 6.0, "b": 5.0}
 
 
-@pytest.mark.parametrize("method", ["histogram", "builtin"])
+@pytest.mark.parametrize("method", ["bucketed", "window", "builtin"])
 def test_medians_match_numpy_with_nulls_and_duplicates(spark, method):
     rnd = random.Random(7)
     data = []
@@ -39,6 +39,23 @@ def test_quartiles_match_numpy_linear(spark):
     assert r.n == 101
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 3, 7, 64])
+def test_bucketed_quantiles_exact_for_any_bucket_count(spark, buckets):
+    rnd = random.Random(buckets)
+    data = []
+    for g in range(4):
+        size = [1, 2, 57, 400][g]
+        for _ in range(size):
+            data.append((g, rnd.choice([float(rnd.randint(0, 30)), rnd.gauss(0, 100)])))
+    df = spark.createDataFrame(data, "g int, v double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = {r.g: [r.q0, r.q1, r.q2, r.q3, r.q4]
+           for r in quantiles_long(df, ["g"], ["v"], probs, buckets=buckets).collect()}
+    for g in range(4):
+        vals = [v for k, v in data if k == g]
+        assert got[g] == pytest.approx(list(np.percentile(vals, [p * 100 for p in probs])), abs=1e-9)
+
+
 def test_null_key_rows_are_not_imputed(spark):
     df = spark.createDataFrame(
         [("A", "r", 1.0), ("A", "r", 3.0), ("A", "r", None), (None, "r", None), ("B", "s", None)],
