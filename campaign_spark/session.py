@@ -44,14 +44,30 @@ def build_session(
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
 
+_PRIVATE_DIRS: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no JVM context on the client
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        if id(spark) not in _PRIVATE_DIRS:
+            _PRIVATE_DIRS[id(spark)] = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
+        return _PRIVATE_DIRS[id(spark)]
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -10,6 +10,8 @@ not corrupt each other (the loser's copy is discarded).
 
 from __future__ import annotations
 
+import os
+import shutil
 import uuid
 from collections.abc import Callable
 
@@ -19,35 +21,80 @@ from campaign_spark.session import scratch_path
 from campaign_spark.sources.sinks import write_parquet
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf), p
+class _HadoopFS:
+    """Path operations through the cluster's Hadoop FileSystem (any scheme)."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _p(self, path: str):
+        p = self._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self._conf), p
+
+    def exists(self, path: str) -> bool:
+        fs, p = self._p(path)
+        return fs.exists(p)
+
+    def delete(self, path: str) -> None:
+        fs, p = self._p(path)
+        fs.delete(p, True)
+
+    def rename(self, src: str, dst: str) -> bool:
+        fs, s = self._p(src)
+        _, d = self._p(dst)
+        fs.mkdirs(d.getParent())
+        return fs.rename(s, d)
+
+
+class _LocalFS:
+    """Fallback for clients without a JVM (Spark Connect): local/file: paths."""
+
+    @staticmethod
+    def _local(path: str) -> str:
+        return path[len("file:"):] if path.startswith("file:") else path
+
+    def exists(self, path: str) -> bool:
+        return os.path.exists(self._local(path))
+
+    def delete(self, path: str) -> None:
+        shutil.rmtree(self._local(path), ignore_errors=True)
+
+    def rename(self, src: str, dst: str) -> bool:
+        d = self._local(dst)
+        os.makedirs(os.path.dirname(d), exist_ok=True)
+        if os.path.exists(d):
+            return False
+        os.rename(self._local(src), d)
+        return True
+
+
+def _fs(spark: SparkSession):
+    try:
+        return _HadoopFS(spark)
+    except Exception:
+        return _LocalFS()
 
 
 def stage_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a committed Spark write (``_SUCCESS``)."""
-    fs, p = _fs_path(spark, path.rstrip("/") + "/_SUCCESS")
-    return fs.exists(p)
+    return _fs(spark).exists(path.rstrip("/") + "/_SUCCESS")
 
 
 def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str,
                 refresh: bool = False) -> DataFrame:
     """Read the stage at ``path`` if committed, else build, write, re-read."""
     final = path.rstrip("/")
-    fs, final_p = _fs_path(spark, final)
-    if refresh and fs.exists(final_p):
-        fs.delete(final_p, True)
-    if not stage_exists(spark, final):
+    fs = _fs(spark)
+    if refresh and fs.exists(final):
+        fs.delete(final)
+    if not fs.exists(final + "/_SUCCESS"):
         attempt = f"{final}.attempt-{uuid.uuid4().hex}"
         write_parquet(build(), attempt)
-        _, attempt_p = _fs_path(spark, attempt)
-        fs.mkdirs(final_p.getParent())
-        if not fs.rename(attempt_p, final_p):
+        if not fs.rename(attempt, final):
             # Someone else committed first: keep theirs, drop ours.
-            fs.delete(attempt_p, True)
-            if not stage_exists(spark, final):
+            fs.delete(attempt)
+            if not fs.exists(final + "/_SUCCESS"):
                 raise RuntimeError(f"could not commit stage {final}")
     return spark.read.parquet(final)
 
