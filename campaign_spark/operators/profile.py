@@ -69,11 +69,12 @@ def group_value_histogram(
     """
     text_col = text_col or f"{col}_counts"
     count_col = count_col or f"{col}_distinct"
+    # Group on the typed value; only the (group, value) rows are rendered.
     hist = (
         df.dropna(subset=keys)
-        .select(*keys, na_label(col).alias("value"))
-        .groupBy(*keys, "value")
+        .groupBy(*keys, F.col(col).alias("_v"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .select(*keys, na_label("_v").alias("value"), "n")
     )
     per_group = hist.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(count_col),
@@ -89,7 +90,8 @@ def group_distinct_counts(df: DataFrame, keys: list[str], cols: list[str]) -> Da
     """Number of distinct values of each column per group, NULL counted as
     one value ('NA'). NULL-key rows dropped. Output ``{col}_distinct``."""
     return df.dropna(subset=keys).groupBy(*keys).agg(*[
-        F.count_distinct(na_label(c)).alias(f"{c}_distinct") for c in cols
+        (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("long"))).alias(f"{c}_distinct")
+        for c in cols
     ])
 
 

@@ -89,9 +89,9 @@ def value_counts_within(
     """
     src = df.dropna(subset=[by]) if drop_null_by else df
     counts = (
-        src.select(F.col(by), na_label(col).alias(col))
-        .groupBy(by, col)
+        src.groupBy(by, F.col(col).alias("_v"))
         .agg(F.count(F.lit(1)).alias("n_counts"))
+        .select(by, na_label("_v").alias(col), "n_counts")
     )
     return _ranked(counts, [by], k, value_col=col)
 
