@@ -20,6 +20,8 @@ from campaign_spark.operators.impute import cleanse
 from campaign_spark.operators.joins import Dimension, star_join
 from campaign_spark.operators.windows import running_totals
 from campaign_spark.schemas import BREAKDOWN_KEYS, JOINED_COLUMNS, MEASURES
+from campaign_spark.sources.jdbc import write_jdbc
+from campaign_spark.sources.sinks import write_result_csv
 from campaign_spark.sources.stages import materialize, stage_path
 
 RUNNING_KEYS = ["channel_name", "region"]
@@ -88,3 +90,29 @@ def run_materialized(spark: SparkSession, build_joined, strategy_id: int, tiebre
     }
     results["running_totals"] = strategy_running_totals(cleansed, strategy_id, tiebreak)
     return {"joined": joined, "cleansed": cleansed, "engineered": engineered, **results}
+
+
+# Column types of the exported result tables (database DDL names).
+RESULT_TYPES = {
+    "totals_by_country": ["text", "double precision", "double precision", "double precision"],
+    "totals_by_channel_name": ["text", "double precision", "double precision", "double precision"],
+    "totals_by_business_vertical": ["text", "double precision", "double precision", "double precision"],
+    "running_totals": ["date", "double precision", "double precision", "double precision",
+                       "double precision", "text", "text"],
+}
+
+
+def export_results(results: dict[str, DataFrame], out_dir: str | None = None, jdbc_url: str | None = None,
+                   jdbc_properties: dict[str, str] | None = None, batchsize: int = 100) -> None:
+    """Write the stage-3 results: one sorted CSV each (small aggregates, or
+    one strategy's rows) and, with ``jdbc_url``, a replaced database table
+    each (batched inserts, typed columns)."""
+    for name, df in results.items():
+        if name not in RESULT_TYPES:
+            continue
+        order = ["channel_name", "region", "captured_date"] if name == "running_totals" else [df.columns[0]]
+        if out_dir is not None:
+            write_result_csv(df, f"{out_dir.rstrip('/')}/{name}", order_by=order)
+        if jdbc_url is not None:
+            write_jdbc(df, jdbc_url, name, mode="overwrite", batchsize=batchsize,
+                       colnames=df.columns, coltypes=RESULT_TYPES[name], properties=jdbc_properties)

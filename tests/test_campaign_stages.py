@@ -156,3 +156,33 @@ def test_typed_csv_failfast_on_malformed(spark):
     _write(f"{folder}/country.csv", "country_id,country\nx,Indonesia\n")
     with pytest.raises(Exception):
         read_csv(spark, f"{folder}/country.csv", COUNTRY).collect()
+
+
+def test_export_results_and_popularity_run(spark):
+    from campaign_spark.plans.campaign import export_results
+    from campaign_spark.plans.popularity import run_popularity
+    from campaign_spark.sources import read_csv
+
+    t = read_campaign_csvs(spark, _csv_folder(spark))
+    joined = join_campaign(t["camp_data"], t["business_vertical"], t["country"], t["channel_name"])
+    stages = run_materialized(spark, lambda: joined, strategy_id=7, name=uuid.uuid4().hex)
+    out = scratch_path(spark, "export", uuid.uuid4().hex)
+    export_results({k: v for k, v in stages.items() if k.startswith("totals_by_") or k == "running_totals"}, out)
+    back = read_csv(spark, f"{out}/totals_by_country", mode="FAILFAST")
+    assert [r.country for r in back.collect()] == ["Indonesia", "New Zealand"]
+
+    ratings = spark.createDataFrame([(1, 10, 4.0), (1, 10, 2.0), (2, 20, 5.0)],
+                                    "user_id long, movie_id long, rating double")
+    items = spark.createDataFrame([(10, "a", "X|Y"), (20, "b", "Y")], "movie_id long, title string, genres string")
+    res = run_popularity(spark, ratings, items, "count", out_dir=out, name=uuid.uuid4().hex)
+    assert dict(rows(res["categories"])) == {"X": 1, "Y": 2}
+    res = run_popularity(spark, ratings, items, "mean", name=uuid.uuid4().hex)
+    assert {r.genre: r.popularity for r in res["categories"].collect()} == {"X": 3.0, "Y": 11.0 / 3}
+
+
+def test_run_sql_bound_parameters(spark):
+    from campaign_spark.sources import register, run_sql
+
+    register({"camp": spark.createDataFrame([(1, "a"), (2, "b")], "id int, c string")})
+    out = run_sql(spark, "SELECT c FROM camp WHERE id = :id", {"id": 2})
+    assert [r.c for r in out.collect()] == ["b"]
