@@ -7,6 +7,11 @@ out). The channel is the order priority. Measures are derived from lineitem
 columns with deterministic NULLs so that every cleansing rule is exercised.
 The last three columns are tie-breakers for ordered operations.
 
+Every lineitem row is kept (all joins are LEFT joins). The nation and part
+exclusions below remove *dimension* rows only, so that some fact rows get a
+NULL label (a dangling key) and the NULL-key rules are exercised; they are
+not row filters on the fact and do not shrink any query's input.
+
 Ratings: user = the order's customer, item = the part, rating = quantity.
 Items: id = part key, title = brand, categories = the part name's words
 joined with ``|``.

@@ -175,14 +175,15 @@ def _numeric_profile() -> str:
 
 
 MODEL = LAST_DATE + """,
-splits AS (
-  SELECT 'train' AS split, 14 AS off UNION ALL SELECT 'validation', 7 UNION ALL SELECT 'test', 0
+keyed AS (
+  SELECT * FROM with_last
+  WHERE strategy_id IS NOT NULL AND country IS NOT NULL AND region IS NOT NULL
+    AND channel_name IS NOT NULL
 ),
 rows3 AS (
-  SELECT w.*, s.split, CAST(w.last_date - s.off AS DATE) AS prediction_date
-  FROM with_last w JOIN splits s ON TRUE
-  WHERE w.strategy_id IS NOT NULL AND w.country IS NOT NULL AND w.region IS NOT NULL
-    AND w.channel_name IS NOT NULL
+  SELECT *, 'train' AS split, CAST(last_date - 14 AS DATE) AS prediction_date FROM keyed
+  UNION ALL SELECT *, 'validation', CAST(last_date - 7 AS DATE) FROM keyed
+  UNION ALL SELECT *, 'test', last_date FROM keyed
 ),
 agg AS (
   SELECT strategy_id, split, prediction_date, country, region, channel_name,
