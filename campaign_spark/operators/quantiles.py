@@ -157,10 +157,12 @@ def group_quantiles(
     picked and pivoted in a single aggregation."""
     src = df.dropna(subset=keys) if keys else df
     if method == "builtin":
-        return src.groupBy(*keys).agg(*[
+        out = src.groupBy(*keys).agg(*[
             F.percentile(F.when(~F.isnan(c), F.col(c).cast("double")), F.lit(prob)).alias(prefix + c)
             for c in cols
         ])
+        # Same contract as the other methods: no row for a group without values.
+        return out.where(F.coalesce(*[F.col(prefix + c) for c in cols]).isNotNull())
     ranked = _ranked(src, keys, cols, [prob], method, buckets)
     return ranked.groupBy(*keys).agg(*[
         _pick(prob, F.col("measure") == F.lit(c)).alias(prefix + c) for c in cols
