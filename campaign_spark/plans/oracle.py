@@ -281,6 +281,21 @@ SELECT strategy_id,
        COUNT(DISTINCT COALESCE(CAST(country AS VARCHAR), 'NA')) AS country_distinct,
        COUNT(DISTINCT COALESCE(CAST(channel_name AS VARCHAR), 'NA')) AS channel_name_distinct
 FROM cleansed WHERE strategy_id IS NOT NULL GROUP BY strategy_id""",
+    "strategy_date_count_join": f"""WITH {CLEANSED},
+c AS (
+  SELECT strategy_id, COUNT(DISTINCT COALESCE(CAST(captured_date AS VARCHAR), 'NA')) AS date_count
+  FROM cleansed WHERE strategy_id IS NOT NULL GROUP BY strategy_id
+),
+h AS (
+  SELECT strategy_id, COALESCE(CAST(captured_date AS VARCHAR), 'NA') AS v, COUNT(*) AS n
+  FROM cleansed WHERE strategy_id IS NOT NULL GROUP BY ALL
+),
+t AS (
+  SELECT strategy_id, string_agg(v || ': ' || CAST(n AS VARCHAR), ';; ' ORDER BY n DESC, v)
+         AS captured_date_counts
+  FROM h GROUP BY strategy_id
+)
+SELECT c.strategy_id, c.date_count, t.captured_date_counts FROM c JOIN t ON c.strategy_id = t.strategy_id""",
     "strategies_per_market": _hist_text(["country", "region", "channel_name"], "strategy_id"),
     "dates_per_market": _hist_text(["country", "region", "channel_name"], "captured_date"),
     "market_pair_counts": f"""WITH {CLEANSED}

@@ -126,6 +126,17 @@ def sparse_strategies(spark: SparkSession, sf: str) -> DataFrame:
     return ops.having(hist, F.col("captured_date_distinct") <= SPARSE_MAX_DATES)
 
 
+def strategy_date_count_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct-date count joined to the date count text (two aggregates,
+    inner equi-join on the strategy; both sides have one row per strategy)."""
+    c = cleansed(spark, sf)
+    counts = ops.group_distinct_counts(c, ["strategy_id"], ["captured_date"]).withColumnRenamed(
+        "captured_date_distinct", "date_count")
+    text = ops.group_value_histogram(c, ["strategy_id"], "captured_date").select(
+        "strategy_id", "captured_date_counts")
+    return counts.join(text, "strategy_id", "inner")
+
+
 def strategy_distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
     return ops.group_distinct_counts(cleansed(spark, sf), ["strategy_id"],
                                      ["captured_date", "country", "channel_name"])
@@ -263,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "strategy_date_text": _strategy_text("captured_date"),
     "sparse_strategies": sparse_strategies,
     "strategy_distinct_counts": strategy_distinct_counts,
+    "strategy_date_count_join": strategy_date_count_join,
     "strategies_per_market": strategies_per_market,
     "dates_per_market": dates_per_market,
     "market_pair_counts": market_pair_counts,
