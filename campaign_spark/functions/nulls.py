@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Label shown for a missing value in counts and profiles (fixed value).
@@ -27,3 +29,12 @@ def null_safe_differs(a: str | Column, b: str | Column) -> Column:
     """``a != b`` where a NULL on either side counts as different, including
     NULL vs NULL (like NaN in floating point); never NULL itself."""
     return ~F.coalesce(_col(a) == _col(b), F.lit(False))
+
+
+def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose every key is non-NULL (group-by semantics that drop NULL
+    keys). Written as ``IS NOT NULL`` predicates, which reach the Parquet
+    reader as pushed filters (``dropna`` plans an opaque non-null count)."""
+    if not keys:
+        return df
+    return df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))

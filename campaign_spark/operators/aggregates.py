@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campaign_spark.functions.nulls import nonnull_sum
+from campaign_spark.functions.nulls import drop_null_keys, nonnull_sum
 from campaign_spark.functions.ratios import RATIOS, exact_sum, safe_ratio
 
 
@@ -34,7 +34,7 @@ def totals_by(
     exactly as integer units of 10^-scale (order independent, same total as a
     DECIMAL sum) and returned as DOUBLE.
     """
-    return df.dropna(subset=keys).groupBy(*keys).agg(*_sum_exprs(measures, exact))
+    return drop_null_keys(df, keys).groupBy(*keys).agg(*_sum_exprs(measures, exact))
 
 
 def totals_by_sets(

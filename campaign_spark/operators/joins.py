@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from campaign_spark.functions.nulls import drop_null_keys
+
 # Default ceiling on dimension rows broadcast to every executor.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -85,5 +87,5 @@ def attach_group_value(
     window over the group, no group is ever gathered into a single task.
     Rows with a NULL key get NULL.
     """
-    per_group = df.dropna(subset=keys).groupBy(*keys).agg(agg.alias(name))
+    per_group = drop_null_keys(df, keys).groupBy(*keys).agg(agg.alias(name))
     return df.join(per_group, keys, "left").select(*df.columns, name)

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from campaign_spark.functions.nulls import drop_null_keys
+
 from campaign_spark.functions.ratios import RATIOS, from_units, safe_ratio, to_units
 from campaign_spark.operators.joins import attach_group_value
 
@@ -32,7 +34,7 @@ def prediction_points(df: DataFrame, key: str = "strategy_id", date_col: str = "
     """``key``, ``split``, ``prediction_date`` for each group."""
     splits = SPLITS if splits is None else splits
     arr = F.array(*[F.struct(F.lit(s).alias("split"), F.lit(o).alias("offset")) for s, o in splits])
-    last = df.dropna(subset=[key]).groupBy(key).agg(F.max(date_col).alias("_last"))
+    last = drop_null_keys(df, [key]).groupBy(key).agg(F.max(date_col).alias("_last"))
     return last.select(key, "_last", F.explode(arr).alias("_s")).select(
         key, F.col("_s.split").alias("split"),
         F.date_sub(F.col("_last"), F.col("_s.offset")).alias("prediction_date"),
@@ -50,7 +52,7 @@ def model_dataset(df: DataFrame, key: str = "strategy_id", date_col: str = "capt
     arr = F.array(*[F.struct(F.lit(s).alias("split"), F.lit(o).alias("offset")) for s, o in splits])
     # The last date is the strategy's over ALL its rows; then rows without a
     # complete (country, region, channel) key are left out of the groups.
-    rows = attach_group_value(df.dropna(subset=[key]), [key], F.max(date_col), "_last").dropna(subset=by)
+    rows = drop_null_keys(attach_group_value(drop_null_keys(df, [key]), [key], F.max(date_col), "_last"), by)
     rows = rows.select("*", F.explode(arr).alias("_s")).select(
         "*", F.col("_s.split").alias("split"),
         F.date_sub(F.col("_last"), F.col("_s.offset")).alias("prediction_date"),

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaign_spark.functions.nulls import na_label
+from campaign_spark.functions.nulls import drop_null_keys, na_label
 from campaign_spark.functions.text import code_compliance_label, count_text
 from campaign_spark.operators.quantiles import quantiles_long
 
@@ -71,7 +71,7 @@ def group_value_histogram(
     count_col = count_col or f"{col}_distinct"
     # Group on the typed value; only the (group, value) rows are rendered.
     hist = (
-        df.dropna(subset=keys)
+        drop_null_keys(df, keys)
         .groupBy(*keys, F.col(col).alias("_v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(*keys, na_label("_v").alias("value"), "n")
@@ -89,7 +89,7 @@ def group_value_histogram(
 def group_distinct_counts(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Number of distinct values of each column per group, NULL counted as
     one value ('NA'). NULL-key rows dropped. Output ``{col}_distinct``."""
-    return df.dropna(subset=keys).groupBy(*keys).agg(*[
+    return drop_null_keys(df, keys).groupBy(*keys).agg(*[
         (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("long"))).alias(f"{c}_distinct")
         for c in cols
     ])
@@ -117,7 +117,7 @@ def repeated_pairs(df: DataFrame, keys: list[str], min_count: int = 2) -> DataFr
     """Row count per key tuple, keeping tuples seen at least ``min_count``
     times (HAVING). NULL-key rows dropped. Output: keys, ``n_counts``."""
     return (
-        df.dropna(subset=keys)
+        drop_null_keys(df, keys)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_counts"))
         .where(F.col("n_counts") >= min_count)

@@ -32,6 +32,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from campaign_spark.functions.nulls import drop_null_keys
+
 DEFAULT_BUCKETS = 64
 SKETCH_ACCURACY = 1_000
 
@@ -101,7 +103,7 @@ def _ranked(df: DataFrame, keys: list[str], cols: list[str], probs: list[float],
             buckets: int) -> DataFrame:
     """Histogram rows (at least those around every target rank) with their
     running count ``cum`` and group size ``total``, per (keys, measure)."""
-    src = df.dropna(subset=keys) if keys else df
+    src = drop_null_keys(df, keys) if keys else df
     part = [*keys, "measure"]
     hist = (
         stack_measures(src, keys, cols)
@@ -155,7 +157,7 @@ def group_quantiles(
 ) -> DataFrame:
     """One quantile per measure as wide columns ``{prefix}{col}`` per group,
     picked and pivoted in a single aggregation."""
-    src = df.dropna(subset=keys) if keys else df
+    src = drop_null_keys(df, keys) if keys else df
     if method == "builtin":
         out = src.groupBy(*keys).agg(*[
             F.percentile(F.when(~F.isnan(c), F.col(c).cast("double")), F.lit(prob)).alias(prefix + c)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaign_spark.functions.nulls import null_safe_differs
+from campaign_spark.functions.nulls import drop_null_keys, null_safe_differs
 from campaign_spark.operators.joins import attach_group_value
 
 
 def last_date_per(df: DataFrame, key: str, date_col: str, name: str = "last_date") -> DataFrame:
     """``key``, ``name`` = max(date) per key (NULL keys dropped)."""
-    return df.dropna(subset=[key]).groupBy(key).agg(F.max(date_col).alias(name))
+    return drop_null_keys(df, [key]).groupBy(key).agg(F.max(date_col).alias(name))
 
 
 def with_last_date(df: DataFrame, key: str, date_col: str, name: str = "last_date") -> DataFrame:

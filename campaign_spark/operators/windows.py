@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campaign_spark.functions.nulls import na_label
+from campaign_spark.functions.nulls import drop_null_keys, na_label
 
 
 def running_totals(
@@ -32,7 +32,7 @@ def running_totals(
     continue from the total of the non-null values so far.
     """
     tiebreak = tiebreak or []
-    src = df.dropna(subset=partition_by)
+    src = drop_null_keys(df, partition_by)
     day_keys = [*partition_by, order_by]
 
     daily = src.groupBy(*day_keys).agg(*[F.sum(m).alias(f"__day_{m}") for m in measures])
@@ -87,7 +87,7 @@ def value_counts_within(
     Output: ``by``, ``col``, ``n_counts``, ``rank``. Rows with a NULL ``by``
     are dropped unless ``drop_null_by`` is False.
     """
-    src = df.dropna(subset=[by]) if drop_null_by else df
+    src = drop_null_keys(df, [by]) if drop_null_by else df
     counts = (
         src.groupBy(by, F.col(col).alias("_v"))
         .agg(F.count(F.lit(1)).alias("n_counts"))
