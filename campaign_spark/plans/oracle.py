@@ -370,4 +370,5 @@ UNION ALL SELECT 'part', COUNT(*), 6 FROM part
 UNION ALL SELECT 'campaign', COUNT(*), 12 FROM camp""",
     "csv_round_trip": f"WITH {CAMP} SELECT * FROM camp",
     "parquet_stage_round_trip": f"WITH {CLEANSED} SELECT * FROM cleansed",
+    "ratings_csv_typed": f"WITH {RATINGS} SELECT * FROM ratings",
 }

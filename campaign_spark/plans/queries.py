@@ -21,7 +21,7 @@ from campaign_spark.plans import fixtures
 from campaign_spark.plans.campaign import engineer, strategy_running_totals
 from campaign_spark.schemas import BREAKDOWN_KEYS, JOINED, MEASURES
 from campaign_spark.session import scratch_path
-from campaign_spark.sources.files import read_csv
+from campaign_spark.sources.files import read_csv, typed_ratings
 from campaign_spark.sources.shapes import table_shapes
 from campaign_spark.sources.sinks import write_csv
 from campaign_spark.sources.stages import materialize, stage_path
@@ -243,6 +243,17 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, CAMPAIGN_CSV_SCHEMA)
 
 
+def ratings_csv_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratings written as CSV, read back with every column a string (header,
+    no schema), then cast to the typed schema; malformed rows would be
+    quarantined by ``typed_ratings`` (none exist here)."""
+    path = scratch_path(spark, "ratings_csv", uuid.uuid4().hex)
+    write_csv(fixtures.ratings(spark, sf), path)
+    raw = read_csv(spark, path)
+    good, _rejected = typed_ratings(raw)
+    return good
+
+
 def parquet_stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Materialize the cleansed stage as Parquet and read it back."""
     path = scratch_path(spark, "stage_round_trip", uuid.uuid4().hex)
@@ -301,4 +312,5 @@ QUERIES: dict[str, Query] = {
     "table_shapes": shapes,
     "csv_round_trip": csv_round_trip,
     "parquet_stage_round_trip": parquet_stage_round_trip,
+    "ratings_csv_typed": ratings_csv_typed,
 }
