@@ -1,11 +1,12 @@
 """Window operators: running totals, value counts and top-k per column.
 
 ``running_totals`` does not put a whole partition group into one task. It
-splits each group by its first ordering column (the date): per-date totals
-are pre-aggregated and turned into "total before this date" offsets by a
-window over the small (group, date) table, and the running sum inside one
-date runs as a window partitioned by (group, date). The result is the same as
-one window ordered by (date, tie-breaks) over the whole group.
+splits each group into blocks along its order (each date, optionally cut
+further by ranges of the first tie-break): per-block totals are
+pre-aggregated and turned into "total before this block" offsets by a window
+over the small per-block table, and the running sum inside a block runs as a
+window partitioned by the block. The result is the same as one window
+ordered by (date, tie-breaks) over the whole group.
 """
 
 from __future__ import annotations
@@ -16,6 +17,14 @@ from pyspark.sql import functions as F
 from campaign_spark.functions.nulls import drop_null_keys, na_label
 
 
+def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(right[f"{prefix}{k}"])
+        cond = c if cond is None else cond & c
+    return cond
+
+
 def running_totals(
     df: DataFrame,
     partition_by: list[str],
@@ -23,6 +32,7 @@ def running_totals(
     measures: list[str],
     tiebreak: list[str] | None = None,
     suffix: str = "_cumul",
+    sub_blocks: int | None = None,
 ) -> DataFrame:
     """Append ``{m}{suffix}``: running sum of ``m`` within each group.
 
@@ -30,31 +40,50 @@ def running_totals(
     then by ``tiebreak``; rows whose group key has a NULL part are dropped; a
     row whose own value is NULL gets a NULL running total and later rows
     continue from the total of the non-null values so far.
+
+    Work split: a *block* is a contiguous run of the group's order. By
+    default a block is one (group, date). With ``sub_blocks=k`` each
+    (group, date) is further cut into ``k`` contiguous ranges of the first
+    tie-break column (numeric), with boundaries from a ``percentile_approx``
+    sketch per (group, date), so a single hot date of a hot group is spread
+    over ``k`` tasks too. Offsets ("total before this block") come from a
+    window over the small per-block table; the running sum inside a block is
+    a window partitioned by the block.
     """
     tiebreak = tiebreak or []
     src = drop_null_keys(df, partition_by)
     day_keys = [*partition_by, order_by]
+    block_keys = list(day_keys)
+    block_order = [F.col(order_by).asc_nulls_last()]
+    if sub_blocks and sub_blocks > 1 and tiebreak:
+        first = tiebreak[0]
+        cuts = F.array(*[F.lit(i / sub_blocks) for i in range(1, sub_blocks)])
+        bounds = src.groupBy(*day_keys).agg(F.percentile_approx(first, cuts, 1000).alias("_tb")).select(
+            *[F.col(k).alias(f"__b_{k}") for k in day_keys], "_tb")
+        t = F.col(first)
+        src = (
+            src.join(bounds, _null_safe_on(src, bounds, day_keys, "__b_"), "left")
+            .withColumn("__blk", F.when(t.isNull(), F.lit(sub_blocks))
+                        .otherwise(F.size(F.filter("_tb", lambda b: b < t))))
+            .drop("_tb", *[f"__b_{k}" for k in day_keys])
+        )
+        block_keys.append("__blk")
+        block_order.append(F.col("__blk").asc())
 
-    daily = src.groupBy(*day_keys).agg(*[F.sum(m).alias(f"__day_{m}") for m in measures])
-    before = Window.partitionBy(*partition_by).orderBy(F.col(order_by).asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = daily.select(
-        *[F.col(k).alias(f"__k_{k}") for k in day_keys],
+    per_block = src.groupBy(*block_keys).agg(*[F.sum(m).alias(f"__day_{m}") for m in measures])
+    before = Window.partitionBy(*partition_by).orderBy(*block_order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_block.select(
+        *[F.col(k).alias(f"__k_{k}") for k in block_keys],
         *[F.sum(f"__day_{m}").over(before).alias(f"__before_{m}") for m in measures],
     )
-    within = Window.partitionBy(*day_keys).orderBy(*[F.col(t).asc_nulls_last() for t in tiebreak]).rowsBetween(
+    within = Window.partitionBy(*block_keys).orderBy(*[F.col(t).asc_nulls_last() for t in tiebreak]).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    # Within-date running sums first (one shuffle of the rows on (group, date)),
-    # then the per-date offsets are joined on; that table has one row per
-    # (group, date), so AQE broadcasts it whenever its measured size allows.
+    # Within-block running sums first (one shuffle of the rows by block),
+    # then the per-block offsets are joined on; that table has one row per
+    # block, so AQE broadcasts it whenever its measured size allows.
     ran = src.withColumns({f"__run_{m}": F.sum(m).over(within) for m in measures})
-    cond = None
-    for k in day_keys:
-        c = ran[k].eqNullSafe(offsets[f"__k_{k}"])
-        cond = c if cond is None else cond & c
-    joined = ran.join(offsets, cond, "left")
+    joined = ran.join(offsets, _null_safe_on(ran, offsets, block_keys, "__k_"), "left")
     outs = {
         f"{m}{suffix}": F.when(
             F.col(m).isNotNull(),

@@ -50,7 +50,7 @@ def engineer(cleansed: DataFrame, date_col: str = "captured_date") -> DataFrame:
 
 
 def strategy_running_totals(cleansed: DataFrame, strategy_id: int, tiebreak: list[str] | None = None,
-                            with_spend: bool = False) -> DataFrame:
+                            with_spend: bool = False, sub_blocks: int | None = None) -> DataFrame:
     """Running impressions / clicks (and spend) of one strategy per
     (channel, region) over date. The strategy filter is applied first, so it
     is pushed to the scan and only that strategy's rows are shuffled."""
@@ -59,7 +59,7 @@ def strategy_running_totals(cleansed: DataFrame, strategy_id: int, tiebreak: lis
     if with_spend:
         one = one.withColumn("_spend", to_units("total_spend_cpm"))
         measures.append("_spend")
-    out = running_totals(one, RUNNING_KEYS, "captured_date", measures, tiebreak=tiebreak)
+    out = running_totals(one, RUNNING_KEYS, "captured_date", measures, tiebreak=tiebreak, sub_blocks=sub_blocks)
     if not with_spend:
         return out.select(*RUNNING_OUTPUT)
     return out.withColumn("cpm_cumul", from_units("_spend_cumul")).select(

@@ -238,6 +238,14 @@ SELECT captured_date, impressions, clicks,
        channel_name, region
 FROM cleansed
 WHERE strategy_id = 3 AND channel_name IS NOT NULL AND region IS NOT NULL
+WINDOW w AS {RUNNING_WINDOW}""",
+    "strategy_running_totals_split": f"""WITH {CLEANSED}
+SELECT captured_date, impressions, clicks,
+       CASE WHEN impressions IS NULL THEN NULL ELSE SUM(impressions) OVER w END AS impressions_cumul,
+       CASE WHEN clicks IS NULL THEN NULL ELSE SUM(clicks) OVER w END AS clicks_cumul,
+       channel_name, region
+FROM cleansed
+WHERE strategy_id = 3 AND channel_name IS NOT NULL AND region IS NOT NULL
 WINDOW w AS {RUNNING_WINDOW}""",
     "strategy_running_totals_with_spend": f"""WITH {CLEANSED}
 SELECT captured_date, impressions, clicks, total_spend_cpm,

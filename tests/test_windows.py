@@ -65,3 +65,21 @@ def test_value_counts_within_drops_null_group(spark):
     df = spark.createDataFrame([("X", "r1"), ("X", None), ("X", "r1"), (None, "r2")], "country string, region string")
     out = {(r.country, r.region): (r.n_counts, r.rank) for r in value_counts_within(df, "country", "region").collect()}
     assert out == {("X", "r1"): (2, 1), ("X", "NA"): (1, 2)}
+
+
+def test_sub_blocks_give_the_same_running_totals(spark):
+    import random
+
+    rnd = random.Random(11)
+    data = []
+    for i in range(300):
+        d = None if i % 41 == 0 else D(2020, 1, 1 + rnd.randint(0, 2))
+        t = None if i % 53 == 0 else rnd.randint(0, 50)
+        x = None if i % 17 == 0 else float(rnd.randint(0, 9))
+        data.append((rnd.choice(["c", "e"]), "r", d, t, i, x))
+    df = spark.createDataFrame(data, "ch string, rg string, d date, t int, u int, x double")
+    base = running_totals(df, ["ch", "rg"], "d", ["x"], tiebreak=["t", "u"])
+    split = running_totals(df, ["ch", "rg"], "d", ["x"], tiebreak=["t", "u"], sub_blocks=4)
+    a = {r.u: r.x_cumul for r in base.collect()}
+    b = {r.u: r.x_cumul for r in split.collect()}
+    assert a == b and len(a) == 300
