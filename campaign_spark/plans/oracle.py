@@ -155,7 +155,7 @@ long AS (
 counts AS (SELECT column_name, value, COUNT(*) AS n_counts FROM long GROUP BY column_name, value),
 ranked AS (
   SELECT column_name, value, n_counts,
-         ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY n_counts DESC, value) AS value_rank
+         CAST(ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY n_counts DESC, value) AS INTEGER) AS value_rank
   FROM counts
 )
 SELECT * FROM ranked WHERE value_rank <= 10"""
@@ -270,7 +270,7 @@ counts AS (
   SELECT country, COALESCE(region, 'NA') AS region, COUNT(*) AS n_counts
   FROM cleansed WHERE country IS NOT NULL GROUP BY ALL
 )
-SELECT *, ROW_NUMBER() OVER (PARTITION BY country ORDER BY n_counts DESC, region) AS value_rank
+SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY country ORDER BY n_counts DESC, region) AS INTEGER) AS value_rank
 FROM counts""",
     "numeric_profile": _numeric_profile(),
     "code_compliance": f"""WITH {CLEANSED}
@@ -348,7 +348,7 @@ pop AS (
   GROUP BY movie_id
 ),
 g AS (SELECT movie_id, unnest(string_split(genres, '|')) AS genre FROM items WHERE genres IS NOT NULL)
-SELECT g.genre, SUM(p.popularity) AS popularity FROM g JOIN pop p ON g.movie_id = p.movie_id
+SELECT g.genre, CAST(SUM(p.popularity) AS BIGINT) AS popularity FROM g JOIN pop p ON g.movie_id = p.movie_id
 GROUP BY g.genre""",
     "genre_popularity_mean": f"""WITH {RATINGS},
 pop AS (

@@ -43,9 +43,17 @@ def test_every_query_has_oracle():
     assert set(oracle_sql()) == set(queries())
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = dict(zip(*(lambda r: (r.columns, [str(t) for t in r.types]))(duck.sql(oracle_sql()[name]))))
+    assert spark_types == duck_types
     cols = sorted(df.columns)
     got = [tuple(_norm(r[c]) for c in cols) for r in df.collect()]
     rel = duck.execute(oracle_sql()[name])
