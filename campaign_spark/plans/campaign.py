@@ -92,14 +92,11 @@ def run_materialized(spark: SparkSession, build_joined, strategy_id: int, tiebre
     return {"joined": joined, "cleansed": cleansed, "engineered": engineered, **results}
 
 
-# Column types of the exported result tables (database DDL names).
-RESULT_TYPES = {
-    "totals_by_country": ["text", "double precision", "double precision", "double precision"],
-    "totals_by_channel_name": ["text", "double precision", "double precision", "double precision"],
-    "totals_by_business_vertical": ["text", "double precision", "double precision", "double precision"],
-    "running_totals": ["date", "double precision", "double precision", "double precision",
-                       "double precision", "text", "text"],
-}
+# Results written by ``export_results`` (column types come from the JDBC
+# dialect's mapping of the Spark types: STRING -> text, DOUBLE -> double
+# precision, DATE -> date on PostgreSQL, as the source pipeline declared).
+RESULT_TABLES = ["totals_by_country", "totals_by_channel_name", "totals_by_business_vertical",
+                 "running_totals"]
 
 
 def export_results(results: dict[str, DataFrame], out_dir: str | None = None, jdbc_url: str | None = None,
@@ -108,11 +105,11 @@ def export_results(results: dict[str, DataFrame], out_dir: str | None = None, jd
     one strategy's rows) and, with ``jdbc_url``, a replaced database table
     each (batched inserts, typed columns)."""
     for name, df in results.items():
-        if name not in RESULT_TYPES:
+        if name not in RESULT_TABLES:
             continue
         order = ["channel_name", "region", "captured_date"] if name == "running_totals" else [df.columns[0]]
         if out_dir is not None:
             write_result_csv(df, f"{out_dir.rstrip('/')}/{name}", order_by=order)
         if jdbc_url is not None:
             write_jdbc(df, jdbc_url, name, mode="overwrite", batchsize=batchsize,
-                       colnames=df.columns, coltypes=RESULT_TYPES[name], properties=jdbc_properties)
+                       properties=jdbc_properties)

@@ -52,7 +52,12 @@ def read_jdbc(
 
 
 def column_types_option(colnames: list[str], coltypes: list[str]) -> str:
-    """``createTableColumnTypes`` value from parallel name / type lists."""
+    """``createTableColumnTypes`` value from parallel name / type lists.
+
+    Types are Spark SQL DDL types (``INT``, ``DOUBLE``, ``DATE``,
+    ``VARCHAR(200)``, ``CHAR(1)``, ...); Spark validates them and the JDBC
+    dialect renders them for the database. Columns left out keep the
+    dialect's default mapping."""
     if len(colnames) != len(coltypes):
         raise ValueError("colnames and coltypes differ in length")
     return ", ".join(f"{n} {t}" for n, t in zip(colnames, coltypes))
@@ -72,9 +77,10 @@ def write_jdbc(
 ) -> None:
     """Create-or-replace (``overwrite``) or append to ``table``.
 
-    ``colnames``/``coltypes`` set the column types of a created table and
-    select/rename the frame's columns in order. NULL doubles are written as
-    SQL NULL. ``num_partitions`` caps concurrent connections.
+    ``colnames`` renames the frame's columns in order; ``coltypes`` (Spark
+    SQL DDL types, e.g. ``VARCHAR(200)``) override the dialect's default
+    column types of a created table. NULL doubles are written as SQL NULL.
+    ``num_partitions`` caps concurrent connections.
     """
     out = df
     if colnames is not None:

@@ -127,7 +127,11 @@ def test_batched_rows(spark):
 
 
 def test_jdbc_options_without_database(spark):
-    assert column_types_option(["a", "b"], ["int", "char"]) == "a int, b char"
+    from pyspark.sql.types import _parse_datatype_string
+
+    opt = column_types_option(["a", "b"], ["INT", "CHAR(1)"])
+    assert opt == "a INT, b CHAR(1)"
+    assert _parse_datatype_string(opt).simpleString() == "struct<a:int,b:char(1)>"  # Spark accepts it
     import pytest
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none", table="t", query="select 1")
