@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for each registered query, over the test
+"""SQL twins (DuckDB dialect) of the registered queries, over the test
 tables as views. Each statement inlines the campaign binding so it needs
 nothing but the base tables. Column names equal the Spark outputs.
 """
