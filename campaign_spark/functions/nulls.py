@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Label shown for a missing value in counts and profiles (fixed value).
-NA = "NA"
+from campaign_spark.fixed import NA_LABEL as NA
 
 
 def _col(c: str | Column) -> Column:

@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Ratio definitions (fixed names): output -> (numerator, denominator).
-RATIOS = {
-    "im_cpm": ("impressions", "total_spend_cpm"),
-    "clicks_cpm": ("clicks", "total_spend_cpm"),
-    "conversions_cpm": ("conversions", "total_spend_cpm"),
-    "clicks_im": ("clicks", "impressions"),
-    "conversions_im": ("conversions", "impressions"),
-    "conversions_clicks": ("conversions", "clicks"),
-}
+from campaign_spark.fixed import RATIOS  # output -> (numerator, denominator)
 
 
 def _col(c: str | Column) -> Column:

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the count text: "value: n" items joined by ";; ".
-ITEM_SEPARATOR = ";; "
-PAIR_SEPARATOR = ": "
-COMPLIANT = "compliant"
+from campaign_spark.fixed import CODE_PARTS, CODE_SEPARATOR
+from campaign_spark.fixed import COMPLIANT_LABEL as COMPLIANT
+from campaign_spark.fixed import COUNT_ITEM_SEPARATOR as ITEM_SEPARATOR
+from campaign_spark.fixed import COUNT_PAIR_SEPARATOR as PAIR_SEPARATOR
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def code_compliance_label(code: str | Column, sep: str = "-", parts: int = 3) -> Column:
+def code_compliance_label(code: str | Column, sep: str = CODE_SEPARATOR, parts: int = CODE_PARTS) -> Column:
     """``'compliant'`` when the code splits into exactly ``parts`` pieces on
     ``sep`` (empty pieces count, lengths are not checked), else the code."""
     c = _col(code)

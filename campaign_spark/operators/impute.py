@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from campaign_spark.operators.quantiles import group_medians
 
-# Fixed cleansing rules of the campaign data: a missing goal type is the
-# third goal type, a missing conversion counts as converted.
-DEFAULT_CONSTANTS = {"goal_type": 3.0, "conversions": 1.0}
-DEFAULT_INT_COLUMNS = ["goal_type"]
-DEFAULT_MEDIAN_COLUMNS = ["impressions", "clicks"]
-DEFAULT_MEDIAN_KEYS = ["country", "region"]
+from campaign_spark.fixed import FILL_CONSTANTS as DEFAULT_CONSTANTS
+from campaign_spark.fixed import INT_COLUMNS as DEFAULT_INT_COLUMNS
+from campaign_spark.fixed import MEDIAN_COLUMNS as DEFAULT_MEDIAN_COLUMNS
+from campaign_spark.fixed import MEDIAN_KEYS as DEFAULT_MEDIAN_KEYS
 
 
 def fill_constants(df: DataFrame, constants: dict[str, float]) -> DataFrame:

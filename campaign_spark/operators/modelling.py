@@ -24,9 +24,7 @@ from campaign_spark.functions.nulls import drop_null_keys
 from campaign_spark.functions.ratios import RATIOS, from_units, safe_ratio, to_units
 from campaign_spark.operators.joins import attach_group_value
 
-# Fixed split offsets in days before the last date.
-SPLITS = [("train", 14), ("validation", 7), ("test", 0)]
-LABEL_DAYS = 7
+from campaign_spark.fixed import LABEL_DAYS, SPLITS
 
 
 def prediction_points(df: DataFrame, key: str = "strategy_id", date_col: str = "captured_date",

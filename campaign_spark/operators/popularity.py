@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from campaign_spark.fixed import CATEGORY_SEPARATOR
 from campaign_spark.functions.ratios import safe_ratio
 
 
@@ -48,7 +49,7 @@ def item_popularity(ratings: DataFrame, items: DataFrame, how: str = "count", it
 
 
 def category_popularity(ratings: DataFrame, items: DataFrame, how: str = "count",
-                        categories: str = "genres", sep: str = "|", item: str = "movie_id",
+                        categories: str = "genres", sep: str = CATEGORY_SEPARATOR, item: str = "movie_id",
                         name: str = "genre", **cols: str) -> DataFrame:
     """Popularity per category. ``count``: ``genre``, ``popularity`` (sum of
     the items' distinct-user counts). ``mean``: ``genre``, ``sum_rating``,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campaign_spark.functions.nulls import drop_null_keys, na_label
+from campaign_spark.fixed import CODE_PARTS, CODE_SEPARATOR
 from campaign_spark.functions.text import code_compliance_label, count_text
 from campaign_spark.operators.quantiles import quantiles_long
 
@@ -43,7 +44,7 @@ def numeric_profile(df: DataFrame, cols: list[str], digits: int = 9) -> DataFram
     )
 
 
-def code_compliance(df: DataFrame, col: str, sep: str = "-", parts: int = 3) -> DataFrame:
+def code_compliance(df: DataFrame, col: str, sep: str = CODE_SEPARATOR, parts: int = CODE_PARTS) -> DataFrame:
     """Count codes by compliance: ``'compliant'`` when the code has exactly
     ``parts`` ``sep``-separated pieces, else the code itself. NULL codes are
     left out. Output: ``code_label``, ``n_counts``."""

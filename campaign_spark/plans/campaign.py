@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campaign_spark.fixed import RUNNING_KEYS
 from campaign_spark.functions.calendar import year_month_of, year_of
 from campaign_spark.functions.ratios import from_units, to_units
 from campaign_spark.operators.aggregates import totals_by, totals_by_sets
@@ -24,7 +25,6 @@ from campaign_spark.sources.jdbc import write_jdbc
 from campaign_spark.sources.sinks import write_result_csv
 from campaign_spark.sources.stages import materialize, stage_path
 
-RUNNING_KEYS = ["channel_name", "region"]
 RUNNING_OUTPUT = ["captured_date", "impressions", "clicks", "impressions_cumul", "clicks_cumul",
                   "channel_name", "region"]
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campaign_spark.fixed import CATEGORY_SEPARATOR
 from campaign_spark.functions.ratios import safe_ratio
 from campaign_spark.operators.popularity import item_stats
 from campaign_spark.sources.sinks import write_result_csv
@@ -17,7 +18,7 @@ from campaign_spark.sources.stages import materialize, stage_path
 
 
 def run_popularity(spark: SparkSession, ratings: DataFrame, items: DataFrame, how: str = "count",
-                   out_dir: str | None = None, name: str = "popularity", sep: str = "|",
+                   out_dir: str | None = None, name: str = "popularity", sep: str = CATEGORY_SEPARATOR,
                    item: str = "movie_id", categories: str = "genres") -> dict[str, DataFrame]:
     """Return (and optionally write as CSV) ``items`` and ``categories``.
 

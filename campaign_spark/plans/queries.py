@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campaign_spark import operators as ops
+from campaign_spark.fixed import TOP_K
 from campaign_spark.plans import fixtures
 from campaign_spark.plans.campaign import engineer, strategy_running_totals
 from campaign_spark.schemas import BREAKDOWN_KEYS, JOINED, MEASURES
@@ -30,7 +31,6 @@ from campaign_spark.sources.stages import materialize, stage_path
 STRATEGY_ID = 3
 CUTOFF_DATE = dt.date(1995, 6, 17)
 SPARSE_MAX_DATES = 500
-TOP_K = 10
 CATEGORICAL = ["business_vertical", "country", "region", "city_code", "strategy_id", "channel_name",
                "goal_type", "year_captured", "yyyymm_captured", "conversions"]
 NUMERIC = ["total_spend_cpm", "impressions", "clicks"]
