@@ -74,7 +74,11 @@ def _ranked_bucketed(hist: DataFrame, part: list[str], probs: list[float], bucke
         F.percentile_approx("value", F.array(*[F.lit(c) for c in cuts]), SKETCH_ACCURACY).alias("_bounds"))
     value = F.col("value")
     # One shuffle on (group, bucket) serves both the per-bucket counts and
-    # the ordered walk below (same partitioning, exchange reused).
+    # the ordered walk below (same partitioning, exchange reused). The answer
+    # never depends on where the boundaries fall, only on both consumers
+    # seeing the same bucket of each value: they read this one exchange,
+    # built from one broadcast of the boundaries per query execution, and a
+    # lost map output is recomputed against that same broadcast.
     bucketed = hist.join(bounds, part, "inner").select(
         *part, "value", "n", F.size(F.filter("_bounds", lambda b: b < value)).alias("_bucket")
     ).repartition(*part, "_bucket")
