@@ -19,7 +19,9 @@ the ordered walk sees about 1/``buckets`` of a group's distinct values.
 ``method="window"`` skips steps 2-3 and walks each group's whole histogram in
 one window task (fewer stages; fine when groups have few distinct values).
 ``method="builtin"`` is Spark's exact ``percentile`` (one in-memory value map
-per group). All three give the same numbers.
+per group). All three give the same numbers. ``method="approx"`` (opt-in,
+never the default) returns ``percentile_approx`` values instead: one pass,
+bounded memory, not interpolated.
 
 Interpolation: ``v_lo + (h - floor(h)) * (v_hi - v_lo)`` (NumPy/pandas
 default). NULL and NaN values are skipped.
@@ -162,6 +164,14 @@ def group_quantiles(
     """One quantile per measure as wide columns ``{prefix}{col}`` per group,
     picked and pivoted in a single aggregation."""
     src = drop_null_keys(df, keys) if keys else df
+    if method == "approx":
+        # Opt-in: bounded-memory sketch, rank error about 1/SKETCH_ACCURACY.
+        out = src.groupBy(*keys).agg(*[
+            F.percentile_approx(F.when(~F.isnan(c), F.col(c).cast("double")), F.lit(prob), 10 * SKETCH_ACCURACY)
+            .alias(prefix + c)
+            for c in cols
+        ])
+        return out.where(F.coalesce(*[F.col(prefix + c) for c in cols]).isNotNull())
     if method == "builtin":
         out = src.groupBy(*keys).agg(*[
             F.percentile(F.when(~F.isnan(c), F.col(c).cast("double")), F.lit(prob)).alias(prefix + c)

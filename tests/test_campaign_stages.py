@@ -190,3 +190,33 @@ def test_run_sql_bound_parameters(spark):
     register({"camp": spark.createDataFrame([(1, "a"), (2, "b")], "id int, c string")})
     out = run_sql(spark, "SELECT c FROM camp WHERE id = :id", {"id": 2})
     assert [r.c for r in out.collect()] == ["b"]
+
+
+def test_cli_etl_and_popularity(spark):
+    from campaign_spark.__main__ import main
+    from campaign_spark.sources import read_csv
+
+    folder = _csv_folder(spark)
+    out = scratch_path(spark, "cli", uuid.uuid4().hex).replace("file:", "")
+    assert main(["etl", "--input", folder, "--output", out, "--strategy", "7"]) == 0
+    tot = read_csv(spark, f"{out}/totals_by_country").collect()
+    assert [(r.country, r.impressions) for r in tot] == [("Indonesia", "20.0"), ("New Zealand", "4.0")]
+    run = read_csv(spark, f"{out}/running_totals").collect()
+    assert [r.impressions_cumul for r in run] == ["10.0", "10.0"]
+
+    _write(f"{folder}/movies.csv", "movieId,title,genres\n1,A,X|Y\n2,B,Y\n")
+    _write(f"{folder}/ratings.csv", "userId,movieId,rating,timestamp\n1,1,4,0\n1,1,5,0\n2,2,x,0\n3,2,3,0\n")
+    assert main(["popularity", "--movies", f"{folder}/movies.csv", "--ratings", f"{folder}/ratings.csv",
+                 "--output", out, "--how", "count"]) == 0
+    cats = {r.genre: r.popularity for r in read_csv(spark, f"{out}/popularity_count_categories").collect()}
+    assert cats == {"X": "1", "Y": "2"}
+    assert read_csv(spark, f"{out}/rejected_ratings").count() == 1
+
+
+def test_approx_median_is_opt_in_and_close(spark):
+    from campaign_spark.operators import group_medians
+
+    df = spark.createDataFrame([("a", float(v)) for v in range(1, 1002)], "k string, v double")
+    exact = group_medians(df, ["k"], ["v"]).first().median_v
+    approx = group_medians(df, ["k"], ["v"], method="approx").first().median_v
+    assert exact == 501.0 and abs(approx - exact) <= 1.0
