@@ -3,8 +3,9 @@
 Every job in this package expects a session with AQE on (runtime join
 re-planning, partition coalescing, skew-join splitting). Scratch output
 (stage tables, round-trip files) always goes under the folder the cluster
-names in ``spark.checkpoint.dir``; a private folder is created only when the
-setting is absent, which is the case in local tests.
+names in ``spark.checkpoint.dir``. A private folder is created only when the
+setting is absent on a local-mode session (tests); on a cluster the setting
+is required.
 """
 
 from __future__ import annotations
@@ -73,7 +74,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached where no cluster folder is configured (local tests).
+        if not sc.master.startswith("local"):
+            # A machine-local folder is invisible to other executors.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # Local mode only (tests, single-machine runs): a private folder.
         configured = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
