@@ -66,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             return configured
+        if not str(spark.conf.get("spark.master", "local")).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         if id(spark) not in _PRIVATE_DIRS:
             _PRIVATE_DIRS[id(spark)] = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
         return _PRIVATE_DIRS[id(spark)]
