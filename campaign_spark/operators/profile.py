@@ -39,7 +39,9 @@ def numeric_profile(df: DataFrame, cols: list[str], digits: int = 9) -> DataFram
         .select(F.col("measure").alias("column"), F.col("q0").alias("p25"),
                 F.col("q1").alias("p50"), F.col("q2").alias("p75"))
     )
-    return moments.join(quart, "column", "left").select(
+    # One row per profiled column on each side: a size bound fixed by the
+    # argument list, so the broadcast is safe at any data volume.
+    return moments.join(F.broadcast(quart), "column", "left").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max", "n_null"
     )
 
