@@ -143,9 +143,9 @@ CATEGORICAL = ["business_vertical", "country", "region", "city_code", "strategy_
                "goal_type", "year_captured", "yyyymm_captured", "conversions"]
 
 
-def _top_values() -> str:
+def _top_values(where: str = "") -> str:
     parts = "\n  UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, COALESCE(CAST({c} AS VARCHAR), 'NA') AS value FROM eng"
+        f"SELECT '{c}' AS column_name, COALESCE(CAST({c} AS VARCHAR), 'NA') AS value FROM eng {where}"
         for c in CATEGORICAL
     )
     return f"""WITH {ENGINEERED},
@@ -272,6 +272,18 @@ counts AS (
 )
 SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY country ORDER BY n_counts DESC, region) AS INTEGER) AS value_rank
 FROM counts""",
+    "top_regions_by_country": f"""WITH {CLEANSED},
+counts AS (
+  SELECT country, COALESCE(region, 'NA') AS region, COUNT(*) AS n_counts
+  FROM cleansed WHERE country IS NOT NULL GROUP BY ALL
+),
+ranked AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY country ORDER BY n_counts DESC, region) AS INTEGER)
+         AS value_rank
+  FROM counts
+)
+SELECT * FROM ranked WHERE value_rank <= 10""",
+    "strategy_top_values": _top_values("WHERE strategy_id = 3"),
     "numeric_profile": _numeric_profile(),
     "code_compliance": f"""WITH {CLEANSED}
 SELECT CASE WHEN len(string_split(city_code, '-')) = 3 THEN 'compliant' ELSE city_code END AS code_label,

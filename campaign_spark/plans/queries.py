@@ -113,6 +113,17 @@ def regions_by_country(spark: SparkSession, sf: str) -> DataFrame:
         "country", "region", "n_counts", F.col("rank").alias("value_rank"))
 
 
+def top_regions_by_country(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.value_counts_within(cleansed(spark, sf), "country", "region", k=TOP_K).select(
+        "country", "region", "n_counts", F.col("rank").alias("value_rank"))
+
+
+def strategy_top_values(spark: SparkSession, sf: str) -> DataFrame:
+    one = ops.filter_rows(engineered(spark, sf), equals={"strategy_id": STRATEGY_ID})
+    return ops.value_counts(one, CATEGORICAL, k=TOP_K).select(
+        F.col("column").alias("column_name"), "value", "n_counts", F.col("rank").alias("value_rank"))
+
+
 def numeric_profile(spark: SparkSession, sf: str) -> DataFrame:
     return ops.numeric_profile(cleansed(spark, sf), NUMERIC).select(
         F.col("column").alias("column_name"), F.col("count").alias("n_values"), "mean", "std",
@@ -283,6 +294,8 @@ QUERIES: dict[str, Query] = {
     "spend_per_impression_daily": spend_per_impression_daily,
     "top_values": top_values,
     "regions_by_country": regions_by_country,
+    "top_regions_by_country": top_regions_by_country,
+    "strategy_top_values": strategy_top_values,
     "numeric_profile": numeric_profile,
     "code_compliance": code_compliance,
     "strategy_country_text": _strategy_text("country"),
