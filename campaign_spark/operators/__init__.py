@@ -18,6 +18,8 @@ from campaign_spark.operators.setops import (
     distinct_keys, distinct_values, drop_duplicate_keys, key_difference, union_all,
 )
 from campaign_spark.operators.splits import last_date_per, split_on_last_date, with_last_date
-from campaign_spark.operators.windows import running_totals, simple_value_counts, value_counts, value_counts_within
+from campaign_spark.operators.windows import (
+    distinct_value_counts, running_totals, simple_value_counts, value_counts, value_counts_within,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -108,6 +108,16 @@ def value_counts(df: DataFrame, cols: list[str], k: int | None = None) -> DataFr
     return _ranked(counts, ["column"], k)
 
 
+def distinct_value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Number of distinct values of each column (NULL counted once, as
+    'NA'), all columns in one job: ``column``, ``n_distinct``. Computed from
+    the same (column, value) histogram as ``value_counts``."""
+    items = F.array(*[F.struct(F.lit(c).alias("column"), na_label(c).alias("value")) for c in cols])
+    long = df.select(F.explode(items).alias("_v")).select("_v.column", "_v.value")
+    hist = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    return hist.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+
+
 def value_counts_within(
     df: DataFrame, by: str, col: str, k: int | None = None, drop_null_by: bool = True,
     sub_blocks: int | None = None,

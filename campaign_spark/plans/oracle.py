@@ -161,6 +161,15 @@ ranked AS (
 SELECT * FROM ranked WHERE value_rank <= 10"""
 
 
+def _column_distinct_counts() -> str:
+    parts = "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(DISTINCT COALESCE(CAST({c} AS VARCHAR), 'NA')) AS n_distinct FROM eng"
+        for c in CATEGORICAL
+    )
+    return f"""WITH {ENGINEERED}
+{parts}"""
+
+
 def _numeric_profile() -> str:
     parts = "\n  UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, COUNT({c}) AS n_values,
@@ -272,6 +281,7 @@ counts AS (
 )
 SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY country ORDER BY n_counts DESC, region) AS INTEGER) AS value_rank
 FROM counts""",
+    "column_distinct_counts": _column_distinct_counts(),
     "top_regions_by_country": f"""WITH {CLEANSED},
 counts AS (
   SELECT country, COALESCE(region, 'NA') AS region, COUNT(*) AS n_counts

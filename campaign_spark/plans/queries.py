@@ -108,6 +108,11 @@ def top_values(spark: SparkSession, sf: str) -> DataFrame:
         F.col("column").alias("column_name"), "value", "n_counts", F.col("rank").alias("value_rank"))
 
 
+def column_distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.distinct_value_counts(engineered(spark, sf), CATEGORICAL).select(
+        F.col("column").alias("column_name"), "n_distinct")
+
+
 def regions_by_country(spark: SparkSession, sf: str) -> DataFrame:
     return ops.value_counts_within(cleansed(spark, sf), "country", "region").select(
         "country", "region", "n_counts", F.col("rank").alias("value_rank"))
@@ -293,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "strategy_running_totals_split": running_split,
     "spend_per_impression_daily": spend_per_impression_daily,
     "top_values": top_values,
+    "column_distinct_counts": column_distinct_counts,
     "regions_by_country": regions_by_country,
     "top_regions_by_country": top_regions_by_country,
     "strategy_top_values": strategy_top_values,
