@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table (lazy Parquet scan). The resolved relation is reused
     per session, so its file listing and footer read happen once, not in
     every query that names the table."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
     hit = _TABLES.get((id(spark), path))
     if hit is not None and hit[0] is spark:
         return hit[1]

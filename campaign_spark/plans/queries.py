@@ -50,7 +50,7 @@ def campaign_stage(spark: SparkSession, sf: str, name: str, build: Callable[[],
     shared checkpoint folder (the source pipeline's stage cache): the fact
     join and the median imputation run once per dataset, not once per query,
     and downstream lineage starts at the stage files."""
-    key = re.sub(r"[^A-Za-z0-9.]+", "_", sf.strip("/"))
+    key = re.sub(r"[^A-Za-z0-9.]+", "_", str(sf).strip("/"))
     path = stage_path(spark, STAGE_VERSION, key, name)
     hit = _STAGES.get((id(spark), path))
     if hit is not None and hit[0] is spark:
