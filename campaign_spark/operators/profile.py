@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campaign_spark.functions.nulls import drop_null_keys, na_label
-from campaign_spark.fixed import CODE_PARTS, CODE_SEPARATOR
+from campaign_spark.fixed import CODE_PARTS, CODE_SEPARATOR, COUNT_ITEM_SEPARATOR as ITEM_SEPARATOR
 from campaign_spark.functions.text import code_compliance_label, count_text
 from campaign_spark.operators.quantiles import quantiles_long
+from campaign_spark.operators.windows import rank_within
 
 
 def numeric_profile(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
@@ -58,7 +59,8 @@ def code_compliance(df: DataFrame, col: str, sep: str = CODE_SEPARATOR, parts: i
 
 
 def group_value_histogram(
-    df: DataFrame, keys: list[str], col: str, text_col: str | None = None, count_col: str | None = None
+    df: DataFrame, keys: list[str], col: str, text_col: str | None = None, count_col: str | None = None,
+    chunk_size: int | None = None,
 ) -> DataFrame:
     """Per group: the distinct count of ``col`` and its histogram as text.
 
@@ -79,6 +81,8 @@ def group_value_histogram(
         .agg(F.count(F.lit(1)).alias("n"))
         .select(*keys, na_label("_v").alias("value"), "n")
     )
+    if chunk_size:
+        return _chunked_histogram_text(hist, keys, text_col, count_col, chunk_size)
     per_group = hist.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(count_col),
         F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg_n"), "value", "n"))).alias("_h"),
@@ -89,6 +93,32 @@ def group_value_histogram(
     )
 
 
+def _chunked_histogram_text(hist: DataFrame, keys: list[str], text_col: str, count_col: str,
+                            chunk_size: int) -> DataFrame:
+    """Same text, built in parallel pieces: each entry's position in the
+    group's display order comes from a blocked running count, runs of
+    ``chunk_size`` entries are sorted and rendered by separate tasks, and the
+    group's last step only joins its rendered chunks in order."""
+    ranked = rank_within(hist.withColumnRenamed("n", "n_counts"), keys, None, value_col="value")
+    chunks = (
+        ranked.withColumn("_chunk", F.floor((F.col("rank") - 1) / F.lit(chunk_size)))
+        .groupBy(*keys, "_chunk")
+        .agg(F.count(F.lit(1)).alias("_k"),
+             F.array_sort(F.collect_list(F.struct("rank", "value", F.col("n_counts").alias("n")))).alias("_h"))
+        .select(*keys, "_chunk", "_k",
+                count_text(F.transform("_h", lambda x: F.struct(x["value"].alias("value"), x["n"].alias("n"))))
+                .alias("_text"))
+    )
+    per_group = chunks.groupBy(*keys).agg(
+        F.sum("_k").alias(count_col),
+        F.array_sort(F.collect_list(F.struct("_chunk", "_text"))).alias("_parts"),
+    )
+    return per_group.select(
+        *keys, count_col,
+        F.array_join(F.transform("_parts", lambda x: x["_text"]), ITEM_SEPARATOR).alias(text_col),
+    )
+
+
 def group_distinct_counts(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Number of distinct values of each column per group, NULL counted as
     one value ('NA'). NULL-key rows dropped. Output ``{col}_distinct``."""

@@ -105,7 +105,7 @@ def value_counts(df: DataFrame, cols: list[str], k: int | None = None) -> DataFr
     items = F.array(*[F.struct(F.lit(c).alias("column"), na_label(c).alias("value")) for c in cols])
     long = df.select(F.explode(items).alias("_v")).select("_v.column", "_v.value")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_counts"))
-    return _ranked(counts, ["column"], k)
+    return rank_within(counts, ["column"], k)
 
 
 def distinct_value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -133,7 +133,7 @@ def value_counts_within(
         .agg(F.count(F.lit(1)).alias("n_counts"))
         .select(by, na_label("_v").alias(col), "n_counts")
     )
-    return _ranked(counts, [by], k, value_col=col, sub_blocks=sub_blocks)
+    return rank_within(counts, [by], k, value_col=col, sub_blocks=sub_blocks)
 
 
 def string_order_key(c: str | Column) -> Column:
@@ -145,7 +145,7 @@ def string_order_key(c: str | Column) -> Column:
     return F.conv(F.rpad(prefix, 14, "0"), 16, 10).cast("long")
 
 
-def _ranked(counts: DataFrame, part: list[str], k: int | None, value_col: str = "value",
+def rank_within(counts: DataFrame, part: list[str], k: int | None, value_col: str = "value",
             sub_blocks: int | None = None) -> DataFrame:
     """``rank`` by count descending, then value, inside each ``part`` group.
 

@@ -304,6 +304,7 @@ FROM cleansed WHERE city_code IS NOT NULL GROUP BY ALL""",
     "strategy_vertical_text": _hist_text(["strategy_id"], "business_vertical"),
     "strategy_goal_type_text": _hist_text(["strategy_id"], "goal_type"),
     "strategy_date_text": _hist_text(["strategy_id"], "captured_date"),
+    "strategy_date_text_chunked": _hist_text(["strategy_id"], "captured_date"),
     "sparse_strategies": _hist_text(["strategy_id"], "captured_date", "WHERE captured_date_distinct <= 500"),
     "strategy_distinct_counts": f"""WITH {CLEANSED}
 SELECT strategy_id,

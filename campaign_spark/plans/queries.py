@@ -143,6 +143,12 @@ def _strategy_text(col: str) -> Query:
     return lambda spark, sf: ops.group_value_histogram(cleansed(spark, sf), ["strategy_id"], col)
 
 
+def strategy_date_text_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    """Same result as ``strategy_date_text``, with the text rendered in
+    ordered chunks of 100 entries by separate tasks."""
+    return ops.group_value_histogram(cleansed(spark, sf), ["strategy_id"], "captured_date", chunk_size=100)
+
+
 def sparse_strategies(spark: SparkSession, sf: str) -> DataFrame:
     hist = ops.group_value_histogram(cleansed(spark, sf), ["strategy_id"], "captured_date")
     return ops.having(hist, F.col("captured_date_distinct") <= SPARSE_MAX_DATES)
@@ -309,6 +315,7 @@ QUERIES: dict[str, Query] = {
     "strategy_vertical_text": _strategy_text("business_vertical"),
     "strategy_goal_type_text": _strategy_text("goal_type"),
     "strategy_date_text": _strategy_text("captured_date"),
+    "strategy_date_text_chunked": strategy_date_text_chunked,
     "sparse_strategies": sparse_strategies,
     "strategy_distinct_counts": strategy_distinct_counts,
     "strategy_date_count_join": strategy_date_count_join,

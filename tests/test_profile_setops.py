@@ -75,3 +75,17 @@ def test_split_on_last_date_parts_add_up(spark):
 def test_distinct_values_na(spark):
     df = spark.createDataFrame([("a",), (None,), ("a",)], "c string")
     assert rows(distinct_values(df, "c")) == [("NA",), ("a",)]
+
+
+def test_chunked_count_text_equals_plain(spark):
+    import random
+
+    rnd = random.Random(9)
+    data = [(rnd.randint(0, 3), rnd.choice([None, "a", "b", "c", "dd", "e", "ff", "g"])) for _ in range(300)]
+    data += [(None, "x")]
+    df = spark.createDataFrame(data, "g int, v string")
+    plain = {r.g: (r.v_distinct, r.v_counts) for r in group_value_histogram(df, ["g"], "v").collect()}
+    for size in (1, 2, 3, 100):
+        chunked = {r.g: (r.v_distinct, r.v_counts)
+                   for r in group_value_histogram(df, ["g"], "v", chunk_size=size).collect()}
+        assert chunked == plain
