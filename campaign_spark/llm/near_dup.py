@@ -6,7 +6,8 @@ compared. The signature has 60 bands of 6 slots: a pair at similarity 0.75
 shares no band with probability 8e-6, one at 0.8 with 1e-8, and a pair at 0.2
 shares one with 0.4 per cent. Candidate links go from a bucket's centre to its members, never all
 pairs; buckets that still hold several components take further centres, and
-what two more centres leave is settled exactly by a prefix-filter join.
+what one more centre leaves is settled exactly by a prefix-filter join (leaders of
+rare-item buckets; the largest buckets by centres again).
 
 Defined cases: a null text is empty; an empty text has an empty set and is its
 own component; fewer than five words are one element; every row gives a row,
@@ -29,7 +30,8 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 60, 6
 SLOTS = BANDS * ROWS
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
+HOT_BUCKET = 256  # members of a prefix bucket up to which its leaders are compared at once
 _U = np.uint64
 _BATCH = 60_000  # shingles signed together; bounds a worker's memory
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -245,10 +247,23 @@ def _prefix_buckets(docs: DataFrame, sets: DataFrame) -> DataFrame:
     t, lead = PERCENT, 2 * PERCENT
     first = F.expr(f"slice(xs, 1, cast(n - (n * {t} + 99) div 100 + 1 as int))")
     return (ordered.select("doc", "n", F.posexplode(first).alias("at", "x")).filter("x.f > 1")
-            .select(F.col("x.item").alias("bucket"), "doc",
+            .select(F.col("x.item").alias("bucket"), "doc", "at",
                     F.expr(f"at < n - (n * {lead} + {99 + t}) div {100 + t} + 1").alias("lead")))
 
 
+def _leaders_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): leaders with the members, at least as large, that the first item they share leaves possible.
+
+    rows: bucket, doc, at, lead, n, comp. From places p and q of that item on,
+    two sets have at most 1 + min(n - p - 1, m - q - 1) items in common.
+    """
+    lead = rows.filter("lead").select("bucket", F.col("doc").alias("a"), F.col("at").alias("q"), F.col("n").alias("m"),
+                                      F.col("comp").alias("ca"))
+    return (rows.join(lead, "bucket").filter("doc <> a and comp <> ca and n >= m").filter(_similar_size("n", "m"))
+            .filter(f"(1 + least(n - at - 1, m - q - 1)) * {100 + PERCENT} >= {PERCENT} * (n + m)")
+            .select("a", F.col("doc").alias("b")).distinct())
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
     texts = byte_texts(docs)
@@ -276,8 +291,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
     left, members, degree, settled = _rounds(
         met.select("bucket", "doc", F.lit(True).alias("lead")), members, _degrees(edges), sets, STAR_ROUNDS, False)
     if not settled:
-        exact = cut(_prefix_buckets(left.distinct(), sets), "near-prefix")
-        _, members, _, _ = _rounds(exact, members, degree, sets, None, True)
+        exact = cut(_prefix_buckets(left.distinct(), sets).join(members, "doc"), "near-prefix")
+        sizes = exact.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        open_ = cut(exact.join(sizes.filter("lo < hi").select("bucket", "size"), "bucket"), "near-prefix-open")
+        edges = cut(_verify(_leaders_pairs(open_.filter(f"size <= {HOT_BUCKET}").drop("size")), sets), "near-edges")
+        if not edges.isEmpty():
+            members = _merge(members, edges)
+        hot = open_.filter(f"size > {HOT_BUCKET}").select("bucket", "doc", "lead")
+        if not hot.isEmpty():
+            _, members, _, _ = _rounds(hot, members, degree, sets, None, True)
     comp = classes.join(members.select(F.col("doc").alias("rep"), "comp"), "rep", "left").select(
         "set_key", F.coalesce("comp", "rep").alias("comp"))
     return (signed.select("doc_id", "n_shingles", "set_key").join(comp, "set_key", "left")
