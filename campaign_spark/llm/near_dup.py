@@ -5,9 +5,8 @@ Documents with equal sets form one class; only class representatives are
 compared. The signature has 60 bands of 6 slots: a pair at similarity 0.75
 shares no band with probability 8e-6, one at 0.8 with 1e-8, and a pair at 0.2
 shares one with 0.4 per cent. Candidate links go from a bucket's centre to its members, never all
-pairs; buckets that still hold several components take further centres, and
-what one more centre leaves is settled exactly by a prefix-filter join (leaders of
-rare-item buckets; the largest buckets by centres again).
+pairs; buckets that still hold several components take another centre, and
+what that leaves is settled exactly by a prefix-filter join on rare items.
 
 Defined cases: a null text is empty; an empty text has an empty set and is its
 own component; fewer than five words are one element; every row gives a row,
@@ -30,8 +29,6 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 60, 6
 SLOTS = BANDS * ROWS
-STAR_ROUNDS = 1
-HOT_BUCKET = 256  # members of a prefix bucket up to which its leaders are compared at once
 _U = np.uint64
 _BATCH = 60_000  # shingles signed together; bounds a worker's memory
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -180,45 +177,30 @@ def _merge(members: DataFrame, edges: DataFrame) -> DataFrame:
                "near-members")
 
 
-def _rounds(buckets: DataFrame, members: DataFrame, degree: DataFrame, sets: DataFrame,
-            limit: int | None, by_size: bool) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
-    """Star rounds over buckets (bucket, doc, lead): one centre a round and bucket, a leading member,
-    is tested against every member of another component and leads no more. Ends when every bucket
-    is one component or has no leader left. ``by_size``: a centre answers only for members of at
-    least its size (the smaller ones, if linked, lead themselves)."""
-    done = 0
-    while True:
-        rows = cut(buckets.join(members, "doc").join(degree, "doc", "left").select(
-            "bucket", "doc", "n", "comp", "lead", F.coalesce("degree", F.lit(0)).alias("degree")), "near-rows")
-        centre = (rows.groupBy("bucket")
-                  .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                       F.max(F.when(F.col("lead"), F.struct("degree", (-F.col("doc")).alias("minus"), "n", "comp"))).alias("c"))
-                  .filter("lo < hi and c is not null")
-                  .select("bucket", (-F.col("c.minus")).alias("centre"), F.col("c.n").alias("cn"), F.col("c.comp").alias("cc")))
-        met = cut(rows.join(centre, "bucket"), "near-open")
-        if met.isEmpty():
-            return met, members, degree, True
-        if limit is not None and done >= limit:
-            return met.select("doc"), members, degree, False
-        pairs = met.filter("doc <> centre and comp <> cc").filter("n >= cn" if by_size else "true")
-        pairs = (pairs.filter(_similar_size("n", "cn"))
-                 .select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct())
-        edges = cut(_verify(pairs, sets), "near-edges")
-        if not edges.isEmpty():
-            members = _merge(members, edges)
-            degree = _degrees(edges, degree)
-        if by_size:
-            buckets = met.select("bucket", "doc", (F.col("lead") & (F.col("doc") != F.col("centre"))).alias("lead"))
-        else:
-            buckets = met.filter("doc <> centre").select("bucket", "doc", "lead")
-        done += 1
-
-
-def _degrees(edges: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    now = edges.select(F.col("a").alias("doc")).union(edges.select("b")).groupBy("doc").agg(F.count("*").alias("degree"))
-    if before is not None:
-        now = now.union(before.select("doc", "degree")).groupBy("doc").agg(F.sum("degree").alias("degree"))
-    return cut(now, "near-degree")
+def _star_round(rows: DataFrame, members: DataFrame, degree: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One more centre for every bucket that holds several components: the member linked most often so
+    far, against the members of other components. Returns the documents of such buckets, and members."""
+    rows = cut(rows.join(members, "doc").join(degree, "doc", "left").select(
+        "bucket", "doc", "n", "comp", F.coalesce("degree", F.lit(0)).alias("degree")), "near-rows")
+    centre = (rows.groupBy("bucket")
+              .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                   F.max(F.struct("degree", (-F.col("doc")).alias("minus"), "n", "comp")).alias("c"))
+              .filter("lo < hi")
+              .select("bucket", (-F.col("c.minus")).alias("centre"), F.col("c.n").alias("cn"), F.col("c.comp").alias("cc")))
+    open_ = cut(rows.join(centre, "bucket"), "near-open")
+    pairs = open_.filter("doc <> centre and comp <> cc").filter(_similar_size("n", "cn"))
+    edges = cut(_verify(pairs.select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct(), sets), "near-edges")
+    left = open_.select("bucket", "doc")
+    if edges.isEmpty():
+        return left.select("doc").distinct(), members
+    merged = _merge(members, edges)
+    named = left.join(merged, "doc")
+    still = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    return named.join(still.select("bucket"), "bucket").select("doc").distinct(), merged
+
+
+def _degrees(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("a").alias("doc")).union(edges.select("b")).groupBy("doc").agg(F.count("*").alias("degree"))
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,9 +239,12 @@ def _leaders_pairs(rows: DataFrame) -> DataFrame:
     rows: bucket, doc, at, lead, n, comp. From places p and q of that item on,
     two sets have at most 1 + min(n - p - 1, m - q - 1) items in common.
     """
+    step = f"cast(floor(ln(%s) / ln({100 / PERCENT})) as int)"  # sizes of a linked pair are at most a step apart
     lead = rows.filter("lead").select("bucket", F.col("doc").alias("a"), F.col("at").alias("q"), F.col("n").alias("m"),
-                                      F.col("comp").alias("ca"))
-    return (rows.join(lead, "bucket").filter("doc <> a and comp <> ca and n >= m").filter(_similar_size("n", "m"))
+                                      F.col("comp").alias("ca"), F.expr(step % "n").alias("k"))
+    lead = lead.withColumn("step", F.explode(F.expr("array(k, k + 1, k + 2)"))).drop("k")
+    return (rows.withColumn("step", F.expr(step % "n")).join(lead, ["bucket", "step"])
+            .filter("doc <> a and comp <> ca and n >= m").filter(_similar_size("n", "m"))
             .filter(f"(1 + least(n - at - 1, m - q - 1)) * {100 + PERCENT} >= {PERCENT} * (n + m)")
             .select("a", F.col("doc").alias("b")).distinct())
 
@@ -288,18 +273,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
             .select((-F.col("c.minus")).alias("a"), F.col("doc").alias("b")))
     edges = cut(_verify(best, sets), "near-edges")
     members = _merge(members, edges)
-    left, members, degree, settled = _rounds(
-        met.select("bucket", "doc", F.lit(True).alias("lead")), members, _degrees(edges), sets, STAR_ROUNDS, False)
-    if not settled:
-        exact = cut(_prefix_buckets(left.distinct(), sets).join(members, "doc"), "near-prefix")
-        sizes = exact.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        open_ = cut(exact.join(sizes.filter("lo < hi").select("bucket", "size"), "bucket"), "near-prefix-open")
-        edges = cut(_verify(_leaders_pairs(open_.filter(f"size <= {HOT_BUCKET}").drop("size")), sets), "near-edges")
+    left, members = _star_round(met.select("bucket", "doc"), members, _degrees(edges), sets)
+    left = cut(left, "near-left")
+    if not left.isEmpty():
+        exact = cut(_prefix_buckets(left, sets).join(members, "doc"), "near-prefix")
+        mixed = exact.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+        edges = cut(_verify(_leaders_pairs(exact.join(mixed.select("bucket"), "bucket")), sets), "near-edges")
         if not edges.isEmpty():
             members = _merge(members, edges)
-        hot = open_.filter(f"size > {HOT_BUCKET}").select("bucket", "doc", "lead")
-        if not hot.isEmpty():
-            _, members, _, _ = _rounds(hot, members, degree, sets, None, True)
     comp = classes.join(members.select(F.col("doc").alias("rep"), "comp"), "rep", "left").select(
         "set_key", F.coalesce("comp", "rep").alias("comp"))
     return (signed.select("doc_id", "n_shingles", "set_key").join(comp, "set_key", "left")
