@@ -17,8 +17,9 @@ Which bytes lie in a 200-byte string that starts at two or more places?
    share a common prefix of that length. After 8 rounds the blocks are the
    repeated 200-byte intervals; no suffix is sorted anew.
 4. An anchor with over ``HOT_SPANS`` distinct spans would make a bucket grow
-   with the corpus. Its windows are counted under their own hash instead
-   (summed in the map tasks), however many there are.
+   with the corpus. Its spans are cut into parts of 16 windows, told apart by the
+   bytes that a part's windows share, and parts that are still too many into
+   single windows, which are counted; what is equal is summed in the map tasks.
 
 Hashes have 64 bits (spans and windows: together with the gram's, 128).
 Defined cases: a null text is empty; an empty or short text loses nothing; every
@@ -44,6 +45,7 @@ LENGTH = 200
 GRAM = 32
 SYMBOL = 25  # LENGTH is a multiple
 HOT_SPANS = 256
+PART_WINDOWS = 16
 SHARDS = 4
 BUCKET_SPANS = 8_000  # distinct spans in a merge bucket, about 2.5 MB of text
 _U = np.uint64
@@ -51,10 +53,19 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 2 ** 64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(x: int, n: int) -> np.ndarray:
-    out = np.full(n + 1, x, _U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """x^0 .. x^n, kept for the next text."""
+    have = _POWERS.get(x)
+    if have is None or len(have) <= n:
+        have = np.full(max(n + 1, 65_536), x, _U)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        if len(have) <= 4_000_000:
+            _POWERS[x] = have
+    return have[:n + 1]
 
 
 class Prefix:
@@ -72,6 +83,11 @@ class Prefix:
         h = (self.sums[end] - self.sums[start]) * self.back[start]
         return mix(h + (end - start).astype(_U) * _U(0xA0761D6478BD642F))
 
+    def grams(self, k: int) -> np.ndarray:
+        """Hashes of all slices of length k."""
+        h = (self.sums[k:] - self.sums[:-k]) * self.back[:len(self.sums) - k]
+        return mix(h + _U(k * 0xA0761D6478BD642F % 2 ** 64))
+
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(gram hash, span hash, span start, span end) for each anchor of one text."""
@@ -79,22 +95,23 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     if n < LENGTH:
         return (np.empty(0, _U),) * 2 + (np.empty(0, np.int64),) * 2
     hashes = Prefix(data)
-    at = np.arange(n - GRAM + 1)
-    g = hashes.slices(at, at + GRAM)
-    # The window's minimum, last one on ties: a running minimum from both ends of blocks.
+    g = hashes.grams(GRAM)
+    # Each window's minimum and its last place: of the rest of the window's first block and of the
+    # start of the next one, in blocks as long as a window has grams.
     w = LENGTH - GRAM + 1
     m = len(g) - w + 1
-    pad = -len(g) % w
-    full = np.concatenate([g, np.full(pad, ~_U(0))]).reshape(-1, w)
-    fwd = np.minimum.accumulate(full, 1).ravel()
-    bwd = np.minimum.accumulate(full[:, ::-1], 1)[:, ::-1].ravel()
-    low = np.minimum(bwd[:m], fwd[w - 1:w - 1 + m])
-    # Runs of equal minima; a run may hold several equal grams, so find each window's last one.
-    hit = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-    own = np.empty(m, np.int64)
-    for s, e in zip(hit, np.append(hit[1:], m)):
-        p = s + np.flatnonzero(g[s:e + w - 1] == low[s])
-        own[s:e] = p[np.searchsorted(p, np.arange(s + w - 1, e + w - 1), "right") - 1]
+    full = np.concatenate([g, np.full(-len(g) % w, ~_U(0))]).reshape(-1, w)
+    at = np.arange(w, dtype=np.int32)
+    fwd = np.minimum.accumulate(full, 1)
+    fwd_at = np.maximum.accumulate(np.where(full == fwd, at, 0), 1)
+    back = full[:, ::-1]
+    bwd = np.minimum.accumulate(back, 1)
+    new = np.ones(full.shape, bool)
+    new[:, 1:] = back[:, 1:] < bwd[:, :-1]
+    bwd_at = w - 1 - np.maximum.accumulate(np.where(new, at, 0), 1)[:, ::-1]
+    block = np.arange(len(full))[:, None] * w
+    fwd, bwd = fwd.ravel()[w - 1:w - 1 + m], bwd[:, ::-1].ravel()[:m]
+    own = np.where(fwd <= bwd, (fwd_at + block).ravel()[w - 1:w - 1 + m], (bwd_at + block).ravel()[:m])
     s = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
     e = np.append(s[1:], m) - 1 + LENGTH
     return g[own[s]], hashes.slices(s, e) ^ mix((own[s] - s).astype(_U)), s, e
@@ -115,28 +132,17 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 cols, size = [], 0
 
 
-def _symbols(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """For every position of the circular texts: the hash of the 25 bytes before it, and the
-    position 25 bytes before it."""
-    syms, prev, base = [], [], 0
-    for t in texts:
-        n = len(t)
-        ring = Prefix(np.concatenate([t[-SYMBOL:], t]))
-        at = np.arange(n)
-        syms.append(ring.slices(at, at + SYMBOL))
-        prev.append(base + (at - SYMBOL) % n)
-        base += n
-    return np.concatenate(syms), np.concatenate(prev)
-
-
-def transform(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """One shard's transform: (suffix order by its first 200 bytes, symbol before each suffix)."""
-    sym, prev = _symbols(texts)
-    _, ids = np.unique(sym, return_inverse=True)
-    order = np.arange(len(sym))
-    for _ in range(LENGTH // SYMBOL):
-        order = prev[order[_stable(ids[order])]]
-    return order, sym[order]
+def _symbols(texts: list[np.ndarray], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every position of the circular texts: the number of the 25-byte symbol before it (numbers
+    in the order of the symbols' hashes), and the position 25 bytes before it."""
+    ring = np.concatenate([x for t in texts for x in (t[-SYMBOL:], t)])
+    start = np.cumsum(size) - size
+    text = np.repeat(np.arange(len(texts)), size)
+    at = np.arange(len(text))
+    _, symbol = np.unique(Prefix(ring).grams(SYMBOL)[at + text * SYMBOL], return_inverse=True)
+    before = at - SYMBOL
+    before[before < start[text]] += size[text[before < start[text]]]
+    return symbol.astype(np.int32), before
 
 
 def _stable(ids: np.ndarray) -> np.ndarray:
@@ -147,27 +153,34 @@ def _stable(ids: np.ndarray) -> np.ndarray:
     return low
 
 
+def transform(symbol: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """One shard's suffixes in the order of their first 200 bytes; the transform is ``symbol`` in that order."""
+    order = np.arange(len(symbol))
+    for _ in range(LENGTH // SYMBOL):
+        order = before[order[_stable(symbol[order])]]
+    return order
+
+
 def merge(shards: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave the shards' transforms (symbol arrays in suffix order).
+    """Interleave the shards' transforms (symbols in suffix order).
 
-    Returns, in merged order, the shard of each row, and the number of its
-    block: rows of one block share a common prefix of 200 bytes or more.
+    Returns, in merged order, the row of the concatenated shards, and the number
+    of its block: rows of one block share a common prefix of 200 bytes or more.
     """
-    _, ids = np.unique(np.concatenate(shards), return_inverse=True)
-    starts = np.cumsum([0] + [len(s) for s in shards])
-    source = np.repeat(np.arange(len(shards)), [len(s) for s in shards])
-    block = np.zeros(len(source), np.int64)
+    symbols = np.concatenate(shards)
+    source = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s) for s in shards])
+    block = np.zeros(len(source), np.int32)
+    place = np.arange(len(source))
     for _ in range(LENGTH // SYMBOL):
-        # The rows of a shard keep their order, so a row's place in its shard is its rank there.
-        place = np.empty(len(source), np.int64)
-        for k in range(len(shards)):
-            mine = np.flatnonzero(source == k)
-            place[mine] = starts[k] + np.arange(len(mine))
-        sym = ids[place]
-        deal = _stable(sym)
-        sym, block, source = sym[deal], block[deal], source[deal]
-        block = np.cumsum(np.concatenate([[0], (sym[1:] != sym[:-1]) | (block[1:] != block[:-1])]))
-    return source, block
+        symbol = symbols[place]
+        deal = _stable(symbol)
+        symbol, block, source = symbol[deal], block[deal], source[deal]
+        step = np.zeros(len(block), np.int32)
+        step[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+        block = np.cumsum(step, dtype=np.int32)
+        # The rows of a shard keep their order, so the k-th row of a shard is its k-th suffix.
+        place[np.argsort(source, kind="stable")] = np.arange(len(source))
+    return place, block
 
 
 def _bucket(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -175,21 +188,17 @@ def _bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     gram, span, weight = (pdf[c].to_numpy(np.int64) for c in ("gram", "span", "weight"))
     texts = [np.frombuffer(x, np.uint8) for x in pdf["text"]]
     size = np.array([len(t) for t in texts])
-    shards, rows = [], []
-    for k in range(min(SHARDS, len(texts))):
-        mine = np.arange(k, len(texts), SHARDS)
-        order, symbols = transform([texts[i] for i in mine])
-        own = np.repeat(mine, size[mine])
-        off = np.concatenate([np.arange(size[i], dtype=np.int32) for i in mine])
-        shards.append(symbols)
-        rows.append((own[order], off[order]))
-    source, block = merge(shards)
-    own, off = np.empty(len(source), np.int64), np.empty(len(source), np.int32)
-    for k, (o, f) in enumerate(rows):
-        mine = source == k
-        own[mine], off[mine] = o, f
+    symbol, before = _symbols(texts, size)
+    shard = np.cumsum(size) * SHARDS // (size.sum() + 1)  # of each text, in order
+    edge = np.concatenate([[0], np.cumsum(np.bincount(shard, weights=size, minlength=SHARDS)).astype(np.int64)])
+    orders = [transform(symbol[a:b], before[a:b] - a) + a for a, b in zip(edge, edge[1:]) if b > a]
+    rows = np.concatenate(orders)
+    place, block = merge([symbol[o] for o in orders])
+    at = rows[place]
+    own = np.repeat(np.arange(len(texts)), size)[at]
+    off = at - (np.cumsum(size) - size)[own]
     window = off <= size[own] - LENGTH  # suffixes that start a whole window; the rest wrap round
-    total = np.bincount(block[window], weights=weight[own[window]], minlength=block[-1] + 1)
+    total = np.bincount(block[window], weights=weight[own[window]], minlength=int(block[-1]) + 1)
     hit = np.flatnonzero(window)[total[block[window]] >= 2]
     return _ranges(gram, span, own[hit], off[hit])
 
@@ -205,21 +214,53 @@ def _ranges(gram: np.ndarray, span: np.ndarray, own: np.ndarray, off: np.ndarray
                          "hi": (off[last] + LENGTH).astype(np.int32)})
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window of the hot anchors' spans under its own hash."""
-    for b in batches:
-        gram, span = b.column(0).to_numpy(), b.column(1).to_numpy()
-        weight = b.column(2).to_numpy()
-        cols = []
-        for i, x in enumerate(b.column(3)):
-            t = np.frombuffer(x.as_buffer(), np.uint8)
-            at = np.arange(len(t) - LENGTH + 1)
-            h = Prefix(t).slices(at, at + LENGTH).view(np.int64)
-            cols.append((np.full(len(at), gram[i]), np.full(len(at), span[i]), np.full(len(at), weight[i]), h,
-                         at.astype(np.int32)))
-        if cols:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*cols)],
-                                             names=["gram", "span", "weight", "window", "at"])
+def _parts(step: int):
+    """Spans in parts of ``step`` windows at fixed places around their anchor. A part's key is the hash of
+    the bytes that all windows there have in common: equal windows of two spans get equal keys."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for gram, span, weight, x in zip(*(b.column(i).to_pylist() for i in range(4))):
+                h = Prefix(np.frombuffer(x, np.uint8))
+                last = len(x) - LENGTH
+                g = h.grams(GRAM)[:LENGTH - GRAM + 1]
+                anchor = int(np.flatnonzero(g == g.min())[-1])
+                number = np.arange(-anchor // step, (last - anchor) // step + 1)
+                begin = anchor + number * step
+                lo, end = np.maximum(begin, 0), np.minimum(begin + step - 1, last)
+                key = mix(h.slices(begin + step - 1, begin + LENGTH) ^ mix(number.astype(_U) + _U(gram % 2 ** 64)))
+                part = h.slices(lo, end + LENGTH) ^ mix((lo - begin).astype(_U))
+                out += [(gram, span, weight, k, p, i, x[i:j + LENGTH]) for k, p, i, j in
+                        zip(key.view(np.int64).tolist(), part.view(np.int64).tolist(), lo.tolist(), end.tolist())]
+            cols = list(zip(*out)) or [()] * 7
+            kinds = (pa.int64(),) * 5 + (pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                             names=["gram", "span", "weight", "key", "part", "at", "text"])
+
+    return run
+
+
+def _split(spans: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+    """(which parts a span has, the distinct parts as spans of their own with their counts)."""
+    cut_ = cut(spans.select("gram", "span", "weight", "text")
+               .mapInArrow(_parts(step), "gram long, span long, weight long, key long, part long, at int, text binary"),
+               f"repeat-parts-{step}")
+    parts = cut_.groupBy(F.col("key").alias("gram"), F.col("part").alias("span")).agg(
+        F.sum("weight").alias("weight"), F.min("text").alias("text"))  # one text under one hash
+    kinds = parts.groupBy("gram").agg(F.count("*").alias("kinds"))
+    return cut_.select("gram", "span", "key", "part", "at"), cut(parts.join(kinds, "gram"), f"repeat-split-{step}")
+
+
+def _back(found: DataFrame, has: DataFrame) -> DataFrame:
+    """Ranges within parts -> ranges within the spans that have them."""
+    f = found.select(F.col("gram").alias("key"), F.col("span").alias("part"), "lo", "hi")
+    return has.join(f, ["key", "part"]).select("gram", "span", (F.col("lo") + F.col("at")).alias("lo"),
+                                               (F.col("hi") + F.col("at")).alias("hi"))
+
+
+def _alike(parts: DataFrame) -> DataFrame:
+    """Parts that occur twice or more are covered whole."""
+    return parts.filter("weight > 1").select("gram", "span", F.lit(0).alias("lo"), F.length("text").alias("hi"))
 
 
 def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,18 +316,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                                           F.col("at.e").alias("e"))).alias("picks")))  # of one text
     cuts = cut(texts.join(picks, ["row", "mark"]).select("body", "picks")
                .mapInArrow(_cut_texts, "gram long, span long, weight long, kinds long, text binary"), "repeat-texts")
+    cuts = cut(cuts.dropDuplicates(["gram", "span"]), "repeat-cuts")
+    few, many = f"kinds <= {HOT_SPANS}", f"kinds > {HOT_SPANS}"
+    has, parts = _split(cuts.filter(many), PART_WINDOWS)
+    has1, windows = _split(parts.filter(many), 1)
+    compare = cuts.filter(few).union(parts.filter(f"kinds > 1 and {few}").select(*cuts.columns))
     # Spans of one anchor share a bucket; HOT_SPANS bounds what they add to it.
-    few = cuts.filter(f"kinds <= {HOT_SPANS}").dropDuplicates(["gram", "span"])
-    buckets = max(1, -(-cuts.filter(f"kinds <= {HOT_SPANS}").count() // BUCKET_SPANS))
-    merged = few.groupBy(F.expr(f"pmod(xxhash64(gram), {buckets})")).applyInPandas(
-        _bucket, "gram long, span long, lo int, hi int")
-    windows = cut(cuts.filter(f"kinds > {HOT_SPANS}").dropDuplicates(["gram", "span"])
-                  .select("gram", "span", "weight", "text")
-                  .mapInArrow(_windows, "gram long, span long, weight long, window long, at int"), "repeat-windows")
-    twice = windows.groupBy("gram", "window").agg(F.sum("weight").alias("w")).filter("w > 1").select("gram", "window")
-    hot = windows.join(twice, ["gram", "window"]).select("gram", "span", F.col("at").alias("lo"),
-                                                         (F.col("at") + LENGTH).alias("hi"))
-    found = cut(merged.union(hot).groupBy("gram", "span")
+    buckets = max(1, -(-compare.count() // BUCKET_SPANS))
+    merged = cut(compare.groupBy(F.expr(f"pmod(xxhash64(gram), {buckets})")).applyInPandas(
+        _bucket, "gram long, span long, lo int, hi int"), "repeat-merged")
+    hot = merged.union(_alike(parts)).union(_back(_alike(windows), has1))
+    found = cut(merged.union(_back(hot, has)).groupBy("gram", "span")
                 .agg(F.collect_list(F.struct("lo", "hi")).alias("r")), "repeat-found")  # of one span
     whole = again.filter("alike").select("row", "mark", F.col("s").alias("lo"), F.col("e").alias("hi"))
     parts = (again.filter("not alike").join(found, ["gram", "span"])
