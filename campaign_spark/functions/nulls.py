@@ -20,8 +20,18 @@ def na_label(c: str | Column) -> Column:
 
 
 def nonnull_sum(c: str | Column) -> Column:
-    """Sum that skips nulls and gives 0.0 (not NULL) for an all-null group."""
-    return F.coalesce(F.sum(_col(c)), F.lit(0.0))
+    """Sum that skips missing values (NULL, NaN) and gives 0.0 (not NULL) for an all-null group."""
+    return F.coalesce(F.sum(present(c)), F.lit(0.0))
+
+
+def present(c: str | Column) -> Column:
+    """The value, with NaN as NULL: both are missing."""
+    return F.when(~F.isnan(_col(c)), _col(c))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """``df`` with NaN in its floating-point columns as NULL."""
+    return df.withColumns({n: present(F.col(f"`{n}`")) for n, t in df.dtypes if t in ("double", "float")})
 
 
 def null_safe_differs(a: str | Column, b: str | Column) -> Column:

@@ -17,18 +17,23 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
 
 
-def to_units(c: str | Column, scale: int = 4) -> Column:
-    """A money-like DOUBLE as an exact integer count of 10^-scale units
-    (rounded half up, like a cast to DECIMAL(p, scale))."""
-    return F.round(_col(c) * F.lit(10.0 ** scale)).cast("long")
+def to_units(c: str | Column, scale: int) -> Column:
+    """A money-like DOUBLE as an exact integer count of 10^-scale units.
 
+    Raises on a value with more decimals: nothing is rounded away. NaN is missing."""
+    value = F.when(~F.isnan(_col(c)), _col(c))
+    units = F.round(value * F.lit(10.0 ** scale)).cast("long")
+    fits = value.isNull() | (from_units(units, scale) == value)
+    return F.when(fits, units).otherwise(
+        F.raise_error(F.concat(F.lit(f"not a multiple of 10^-{scale}: "), value.cast("string"))).cast("long"))
 
-def from_units(units: str | Column, scale: int = 4) -> Column:
+
+def from_units(units: str | Column, scale: int) -> Column:
     """Integer units back to a DOUBLE amount (correctly rounded quotient)."""
     return _col(units).cast("double") / F.lit(10.0 ** scale)
 
 
-def exact_sum(c: str | Column, scale: int = 4) -> Column:
+def exact_sum(c: str | Column, scale: int) -> Column:
     """Sum a money-like DOUBLE exactly and independently of row order: the
     values are added as integer units (BIGINT; ANSI mode raises on overflow
     instead of wrapping), then returned as DOUBLE. Same result as summing

@@ -77,9 +77,10 @@ def efficiency_by(
     measures: list[str],
     spend: str = "total_spend_cpm",
     ratios: dict[str, tuple[str, str]] | None = None,
+    exact: dict[str, int] | None = None,
 ) -> DataFrame:
     """Totals of the measures and of spend per key, then the ratios of sums."""
-    totals = totals_by(df, [key], [*measures, spend], exact={spend: 4})
+    totals = totals_by(df, [key], [*measures, spend], exact=exact)
     return with_ratios(totals, ratios)
 
 

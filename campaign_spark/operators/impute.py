@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from campaign_spark.operators.quantiles import group_medians
 
+from campaign_spark.functions.nulls import present
 from campaign_spark.fixed import FILL_CONSTANTS as DEFAULT_CONSTANTS
 from campaign_spark.fixed import INT_COLUMNS as DEFAULT_INT_COLUMNS
 from campaign_spark.fixed import MEDIAN_COLUMNS as DEFAULT_MEDIAN_COLUMNS
@@ -40,7 +41,7 @@ def impute_group_median(
     """
     medians = group_medians(df, keys, cols, prefix, method)
     joined = df.join(medians, keys, "left")
-    filled = joined.withColumns({c: F.coalesce(F.col(c), F.col(prefix + c)) for c in cols})
+    filled = joined.withColumns({c: F.coalesce(present(c), F.col(prefix + c)) for c in cols})
     return filled.select(*df.columns, *[prefix + c for c in cols])
 
 

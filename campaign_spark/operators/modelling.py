@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaign_spark.functions.nulls import drop_null_keys
+from campaign_spark.functions.nulls import drop_null_keys, present
 
 from campaign_spark.functions.ratios import RATIOS, from_units, safe_ratio, to_units
 from campaign_spark.operators.joins import attach_group_value
@@ -42,7 +42,7 @@ def prediction_points(df: DataFrame, key: str = "strategy_id", date_col: str = "
 def model_dataset(df: DataFrame, key: str = "strategy_id", date_col: str = "captured_date",
                   by: list[str] | None = None, measures: list[str] | None = None,
                   spend: str = "total_spend_cpm", splits: list[tuple[str, int]] | None = None,
-                  label_days: int = LABEL_DAYS) -> DataFrame:
+                  label_days: int = LABEL_DAYS, spend_scale: int | None = None) -> DataFrame:
     """State features and labels per (key, split, *by)."""
     by = ["country", "region", "channel_name"] if by is None else by
     measures = ["impressions", "clicks", "conversions"] if measures is None else measures
@@ -59,7 +59,9 @@ def model_dataset(df: DataFrame, key: str = "strategy_id", date_col: str = "capt
     past = d < p
     future = (d > p) & (d <= F.date_add(p, label_days))
     has_future = F.max(F.col("_last")) > F.max(p)  # any date after p in this strategy
-    feats = [from_units(F.sum(F.when(past, to_units(spend)))).alias(f"state_{spend}")]
+    spent = (F.sum(F.when(past, present(spend))) if spend_scale is None
+             else from_units(F.sum(F.when(past, to_units(spend, spend_scale))), spend_scale))
+    feats = [spent.alias(f"state_{spend}")]
     feats += [F.sum(F.when(past, F.col(m))).alias(f"state_{m}") for m in measures]
     feats += [F.count_if(past).alias("state_rows")]
     labels = [F.when(has_future, F.coalesce(F.sum(F.when(future, F.col(m))), F.lit(0.0))).alias(f"label_{m}")

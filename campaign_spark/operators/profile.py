@@ -6,18 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaign_spark.functions.nulls import drop_null_keys, na_label
+from campaign_spark.functions.nulls import NA, drop_null_keys, na_label
 from campaign_spark.fixed import CODE_PARTS, CODE_SEPARATOR, COUNT_ITEM_SEPARATOR as ITEM_SEPARATOR
 from campaign_spark.functions.text import code_compliance_label, count_text
 from campaign_spark.operators.quantiles import quantiles_long
 from campaign_spark.operators.windows import rank_within
 
 
-def numeric_profile(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: list[str], digits: int | None = None) -> DataFrame:
     """Describe each numeric column: one row per column with ``count``,
     ``mean``, ``std`` (sample), ``min``, ``p25``, ``p50``, ``p75``, ``max`` and
     ``n_null``. Quartiles are exact and linearly interpolated. ``mean`` and
-    ``std`` are rounded to ``digits`` decimals (display precision).
+    ``std`` are rounded only if ``digits`` is given.
 
     Moments come from one global aggregate over stacked columns (two-phase,
     one row per task per column shuffled); quartiles from the histogram plan.
@@ -27,10 +27,11 @@ def numeric_profile(df: DataFrame, cols: list[str], digits: int = 9) -> DataFram
     ])
     long = df.select(F.explode(items).alias("_v")).select("_v.column", "_v.value")
     clean = F.when(~F.isnan("value"), F.col("value"))
+    shown = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
     moments = long.groupBy("column").agg(
         F.count(clean).alias("count"),
-        F.round(F.avg(clean), digits).alias("mean"),
-        F.round(F.stddev_samp(clean), digits).alias("std"),
+        shown(F.avg(clean)).alias("mean"),
+        shown(F.stddev_samp(clean)).alias("std"),
         F.min(clean).alias("min"),
         F.max(clean).alias("max"),
         F.count_if(F.col("value").isNull() | F.isnan("value")).alias("n_null"),
@@ -79,7 +80,9 @@ def group_value_histogram(
         drop_null_keys(df, keys)
         .groupBy(*keys, F.col(col).alias("_v"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(*keys, na_label("_v").alias("value"), "n")
+        # A stored 'NA' and NULL are one label: few rows, counted together.
+        .groupBy(*keys, na_label("_v").alias("value"))
+        .agg(F.sum("n").alias("n"))
     )
     if chunk_size:
         return _chunked_histogram_text(hist, keys, text_col, count_col, chunk_size)
@@ -123,7 +126,10 @@ def group_distinct_counts(df: DataFrame, keys: list[str], cols: list[str]) -> Da
     """Number of distinct values of each column per group, NULL counted as
     one value ('NA'). NULL-key rows dropped. Output ``{col}_distinct``."""
     return drop_null_keys(df, keys).groupBy(*keys).agg(*[
-        (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("long"))).alias(f"{c}_distinct")
+        # NULL counts as 'NA', and as nothing new beside a stored 'NA'.
+        (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("long"))
+         * (F.lit(1) - F.coalesce(F.max((F.col(c).cast("string") == F.lit(NA)).cast("long")), F.lit(0)))
+         ).alias(f"{c}_distinct")
         for c in cols
     ])
 

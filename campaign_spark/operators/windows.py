@@ -131,7 +131,9 @@ def value_counts_within(
     counts = (
         src.groupBy(by, F.col(col).alias("_v"))
         .agg(F.count(F.lit(1)).alias("n_counts"))
-        .select(by, na_label("_v").alias(col), "n_counts")
+        # A stored 'NA' and NULL are one label.
+        .groupBy(by, na_label("_v").alias(col))
+        .agg(F.sum("n_counts").alias("n_counts"))
     )
     return rank_within(counts, [by], k, value_col=col, sub_blocks=sub_blocks)
 
@@ -164,7 +166,7 @@ def rank_within(counts: DataFrame, part: list[str], k: int | None, value_col: st
         "__neg_n": -F.col("n_counts"), "__one": F.lit(1), "__vkey": string_order_key(value_col)})
     ran = running_totals(keyed, ["__grp"], "__neg_n", ["__one"], tiebreak=["__vkey", value_col],
                          sub_blocks=sub_blocks)
-    return ran.withColumn("rank", F.col("__one_cumul").cast("int")).select(*counts.columns, "rank")
+    return ran.withColumn("rank", F.col("__one_cumul").cast("long")).select(*counts.columns, "rank")
 
 
 def simple_value_counts(df: DataFrame, col: str | Column, name: str) -> DataFrame:

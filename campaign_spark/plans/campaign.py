@@ -10,11 +10,14 @@ materialized run that writes every stage once to the shared folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaign_spark.fixed import RUNNING_KEYS
 from campaign_spark.functions.calendar import year_month_of, year_of
+from campaign_spark.functions.nulls import nan_to_null, present
 from campaign_spark.functions.ratios import from_units, to_units
 from campaign_spark.operators.aggregates import totals_by, totals_by_sets
 from campaign_spark.operators.impute import cleanse
@@ -32,7 +35,7 @@ RUNNING_OUTPUT = ["captured_date", "impressions", "clicks", "impressions_cumul",
 def join_campaign(camp: DataFrame, business_vertical: DataFrame, country: DataFrame,
                   channel_name: DataFrame) -> DataFrame:
     """Stage 1 from the raw fact and its three (id, label) dimensions."""
-    joined = star_join(camp, [
+    joined = star_join(nan_to_null(camp), [
         Dimension(business_vertical, "business_vertical_id", "business_vertical_id",
                   {"business_vertical": "business_vertical"}),
         Dimension(country, "country_id", "country_id", {"country": "country"}),
@@ -50,19 +53,22 @@ def engineer(cleansed: DataFrame, date_col: str = "captured_date") -> DataFrame:
 
 
 def strategy_running_totals(cleansed: DataFrame, strategy_id: int, tiebreak: list[str] | None = None,
-                            with_spend: bool = False, sub_blocks: int | None = None) -> DataFrame:
+                            with_spend: bool = False, sub_blocks: int | None = None,
+                            spend_scale: int | None = None) -> DataFrame:
     """Running impressions / clicks (and spend) of one strategy per
     (channel, region) over date. The strategy filter is applied first, so it
     is pushed to the scan and only that strategy's rows are shuffled."""
     one = cleansed.where(F.col("strategy_id") == F.lit(strategy_id))
     measures = ["impressions", "clicks"]
     if with_spend:
-        one = one.withColumn("_spend", to_units("total_spend_cpm"))
+        one = one.withColumn("_spend", present("total_spend_cpm") if spend_scale is None
+                             else to_units("total_spend_cpm", spend_scale))
         measures.append("_spend")
     out = running_totals(one, RUNNING_KEYS, "captured_date", measures, tiebreak=tiebreak, sub_blocks=sub_blocks)
     if not with_spend:
         return out.select(*RUNNING_OUTPUT)
-    return out.withColumn("cpm_cumul", from_units("_spend_cumul")).select(
+    total = F.col("_spend_cumul") if spend_scale is None else from_units("_spend_cumul", spend_scale)
+    return out.withColumn("cpm_cumul", total).select(
         "captured_date", "impressions", "clicks", "total_spend_cpm", "impressions_cumul", "clicks_cumul",
         "cpm_cumul", "channel_name", "region")
 
@@ -75,10 +81,15 @@ def etl_results(cleansed: DataFrame, strategy_id: int, tiebreak: list[str] | Non
 
 
 def run_materialized(spark: SparkSession, build_joined, strategy_id: int, tiebreak: list[str] | None = None,
-                     name: str = "campaign", refresh: bool = False) -> dict[str, DataFrame]:
+                     name: str | None = None, refresh: bool = False) -> dict[str, DataFrame]:
     """Run all four stages, writing each stage once (Parquet) and reading it
     back. The three breakdowns come from ONE grouping-sets pass over the
-    cleansed stage, written once and split by breakdown."""
+    cleansed stage, written once and split by breakdown.
+
+    ``name`` says which stages: those already written under it are read again
+    (``refresh`` builds them anew), so one name is for one input. Without a
+    name every call has stages of its own."""
+    name = name or f"campaign-{uuid.uuid4().hex}"
     joined = materialize(spark, build_joined, stage_path(spark, name, "joined"), refresh)
     cleansed = materialize(spark, lambda: cleanse(joined), stage_path(spark, name, "cleansed"), refresh)
     engineered = materialize(spark, lambda: engineer(cleansed), stage_path(spark, name, "engineered"), refresh)
@@ -95,6 +106,7 @@ def run_materialized(spark: SparkSession, build_joined, strategy_id: int, tiebre
 # Results written by ``export_results`` (column types come from the JDBC
 # dialect's mapping of the Spark types: STRING -> text, DOUBLE -> double
 # precision, DATE -> date on PostgreSQL, as the source pipeline declared).
+RUNNING_OUTPUT_ORDER = ["channel_name", "region", "captured_date"]
 RESULT_TABLES = ["totals_by_country", "totals_by_channel_name", "totals_by_business_vertical",
                  "running_totals"]
 
@@ -107,7 +119,7 @@ def export_results(results: dict[str, DataFrame], out_dir: str | None = None, jd
     for name, df in results.items():
         if name not in RESULT_TABLES:
             continue
-        order = ["channel_name", "region", "captured_date"] if name == "running_totals" else [df.columns[0]]
+        order = [*RUNNING_OUTPUT_ORDER, *(c for c in df.columns if c not in RUNNING_OUTPUT_ORDER)] if name == "running_totals" else [df.columns[0]]
         if out_dir is not None:
             write_result_csv(df, f"{out_dir.rstrip('/')}/{name}", order_by=order)
         if jdbc_url is not None:

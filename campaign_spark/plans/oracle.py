@@ -373,6 +373,26 @@ pop AS (
 g AS (SELECT movie_id, unnest(string_split(genres, '|')) AS genre FROM items WHERE genres IS NOT NULL)
 SELECT g.genre, CAST(SUM(p.popularity) AS BIGINT) AS popularity FROM g JOIN pop p ON g.movie_id = p.movie_id
 GROUP BY g.genre""",
+    "top_genres": f"""WITH {RATINGS},
+pop AS (
+  SELECT movie_id, COUNT(*) AS popularity FROM (SELECT DISTINCT user_id, movie_id FROM ratings) d
+  GROUP BY movie_id
+),
+g AS (SELECT movie_id, unnest(string_split(genres, '|')) AS genre FROM items WHERE genres IS NOT NULL),
+t AS (SELECT g.genre, CAST(SUM(p.popularity) AS BIGINT) AS popularity FROM g JOIN pop p ON g.movie_id = p.movie_id
+      GROUP BY g.genre)
+SELECT genre, popularity, CAST(ROW_NUMBER() OVER (ORDER BY popularity DESC, genre) AS INTEGER) AS position
+FROM t QUALIFY position <= 10""",
+    "rarest_movies": f"""WITH {RATINGS},
+pop AS (
+  SELECT movie_id, COUNT(*) AS popularity FROM (SELECT DISTINCT user_id, movie_id FROM ratings) d
+  GROUP BY movie_id
+)
+SELECT movie_id, p.popularity, CAST(ROW_NUMBER() OVER (ORDER BY p.popularity, movie_id) AS INTEGER) AS position
+FROM items JOIN pop p USING (movie_id) QUALIFY position <= 10""",
+    "unfilled_strategy_days": f"""WITH {CAMP}
+SELECT strategy_id, captured_date FROM camp WHERE impressions IS NULL
+EXCEPT SELECT strategy_id, captured_date FROM camp WHERE impressions IS NOT NULL""",
     "genre_popularity_mean": f"""WITH {RATINGS},
 pop AS (
   SELECT movie_id, SUM(rating) AS sum_rating, COUNT(user_id) AS n_ratings FROM ratings GROUP BY movie_id

@@ -7,6 +7,8 @@ aggregated once, however many outputs are written.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +21,18 @@ from campaign_spark.sources.stages import materialize, stage_path
 
 def run_popularity(spark: SparkSession, ratings: DataFrame, items: DataFrame, how: str = "count",
                    out_dir: str | None = None, name: str = "popularity", sep: str = CATEGORY_SEPARATOR,
-                   item: str = "movie_id", categories: str = "genres") -> dict[str, DataFrame]:
-    """Return (and optionally write as CSV) ``items`` and ``categories``.
+                   item: str = "movie_id", categories: str = "genres",
+                   stage: str | None = None, refresh: bool = False) -> dict[str, DataFrame]:
+    """``stage`` (a path) keeps the item statistics of one input for later calls; without it every
+    call has its own.
+
+    Return (and optionally write as CSV) ``items`` and ``categories``.
 
     ``items``: items with ratings and their popularity, sorted ascending at
     the sink. ``categories``: per category popularity, sorted descending.
     """
     stats = materialize(spark, lambda: item_stats(ratings, how, item=item),
-                        stage_path(spark, name, how, "item_stats"))
+                        stage or stage_path(spark, name, how, uuid.uuid4().hex), refresh)
     per_item = items.join(stats, item, "inner")
     exploded = items.select(item, F.explode(F.split(F.col(categories), "\\Q" + sep + "\\E", -1)).alias("genre")) \
         .join(stats, item, "inner")

@@ -8,11 +8,11 @@ query, for checking, is in ``plans.oracle`` under the same name.
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from campaign_spark.session import scratch_path
 from campaign_spark.sources.files import read_csv, typed_ratings
 from campaign_spark.sources.shapes import table_shapes
 from campaign_spark.sources.sinks import write_csv
-from campaign_spark.sources.stages import materialize, stage_path
+from campaign_spark.sources.stages import input_key, materialize, stage_path
 
 # Fixed query parameters (shared with the oracle SQL).
 STRATEGY_ID = 3
@@ -41,7 +41,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Bump when the binding or the cleansing rules change: stage folders are
 # keyed by it, so a stage written by older code is never read back.
-STAGE_VERSION = "v1"
+STAGE_VERSION = "v2"
+# The test tables give spend with two decimals: exact sums make results independent of row order.
+SPEND_EXACT = {"total_spend_cpm": 4}
 _STAGES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
@@ -50,7 +52,8 @@ def campaign_stage(spark: SparkSession, sf: str, name: str, build: Callable[[],
     shared checkpoint folder (the source pipeline's stage cache): the fact
     join and the median imputation run once per dataset, not once per query,
     and downstream lineage starts at the stage files."""
-    key = re.sub(r"[^A-Za-z0-9.]+", "_", str(sf).strip("/"))
+    # Another folder, or other files in it, is another stage.
+    key = input_key(spark, [f"{str(sf).rstrip('/')}/{t}.parquet" for t in fixtures.CAMPAIGN_TABLES])
     path = stage_path(spark, STAGE_VERSION, key, name)
     hit = _STAGES.get((id(spark), path))
     if hit is not None and hit[0] is spark:
@@ -77,7 +80,7 @@ def _totals(key: str) -> Query:
 
 
 def _efficiency(key: str) -> Query:
-    return lambda spark, sf: ops.efficiency_by(cleansed(spark, sf), key, MEASURES)
+    return lambda spark, sf: ops.efficiency_by(cleansed(spark, sf), key, MEASURES, exact=SPEND_EXACT)
 
 
 def totals_one_pass(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,12 +98,12 @@ def running_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def running_with_spend(spark: SparkSession, sf: str) -> DataFrame:
-    return strategy_running_totals(cleansed(spark, sf), STRATEGY_ID, fixtures.TIEBREAK, with_spend=True)
+    return strategy_running_totals(cleansed(spark, sf), STRATEGY_ID, fixtures.TIEBREAK, with_spend=True, spend_scale=4)
 
 
 def spend_per_impression_daily(spark: SparkSession, sf: str) -> DataFrame:
     return ops.ratio_of_sums_by(cleansed(spark, sf), ["captured_date", "channel_name"], "total_spend_cpm",
-                                "impressions", "cpm_per_impression", exact={"total_spend_cpm": 4})
+                                "impressions", "cpm_per_impression", exact=SPEND_EXACT)
 
 
 def top_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,7 +133,7 @@ def strategy_top_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def numeric_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.numeric_profile(cleansed(spark, sf), NUMERIC).select(
+    return ops.numeric_profile(cleansed(spark, sf), NUMERIC, digits=9).select(
         F.col("column").alias("column_name"), F.col("count").alias("n_values"), "mean", "std",
         F.col("min").alias("min_value"), "p25", "p50", "p75", F.col("max").alias("max_value"), "n_null")
 
@@ -237,6 +240,23 @@ def _genres(how: str) -> Query:
     return lambda spark, sf: ops.category_popularity(fixtures.ratings(spark, sf), fixtures.items(spark, sf), how)
 
 
+def _top(stats: Query, label: str, best_first: bool) -> Query:
+    """The first rows in the order of popularity, with their position (a top-n report)."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        first = F.desc("popularity") if best_first else F.asc("popularity")
+        top = stats(spark, sf).select(label, "popularity").orderBy(first, label).limit(TOP_K)
+        # TOP_K rows: one window over the report itself.
+        return top.withColumn("position", F.row_number().over(W.orderBy(first, label)))
+    return run
+
+
+def unfilled_strategy_days(spark: SparkSession, sf: str) -> DataFrame:
+    """(strategy, date) keys that have rows without impressions and none with (EXCEPT)."""
+    rows = joined(spark, sf)
+    return ops.key_difference(ops.null_rows(rows, "impressions"), ops.non_null_rows(rows, "impressions"),
+                              ["strategy_id", "captured_date"])
+
+
 def rating_user_item_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return ops.drop_duplicate_keys(fixtures.ratings(spark, sf).select("user_id", "movie_id"),
                                    ["user_id", "movie_id"])
@@ -247,7 +267,7 @@ def model_points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_table(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.model_dataset(cleansed(spark, sf))
+    return ops.model_dataset(cleansed(spark, sf), spend_scale=4)
 
 
 def shapes(spark: SparkSession, sf: str) -> DataFrame:
@@ -338,6 +358,9 @@ QUERIES: dict[str, Query] = {
     "movie_popularity": _items("count"),
     "movie_popularity_mean": _items("mean"),
     "genre_popularity": _genres("count"),
+    "top_genres": _top(_genres("count"), "genre", True),
+    "rarest_movies": _top(_items("count"), "movie_id", False),
+    "unfilled_strategy_days": unfilled_strategy_days,
     "genre_popularity_mean": _genres("mean"),
     "rating_user_item_pairs": rating_user_item_pairs,
     "model_prediction_points": model_points,

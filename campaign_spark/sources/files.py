@@ -73,7 +73,7 @@ def typed_ratings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejected
 
 
-def read_result_csv(spark: SparkSession, path: str, schema: T.StructType, n: int | None = 10) -> DataFrame:
+def read_result_csv(spark: SparkSession, path: str, schema: T.StructType, n: int | None) -> DataFrame:
     """Re-read a result CSV with its schema; ``n`` first rows (None = all)."""
     df = read_csv(spark, path, schema)
     return df.limit(n) if n is not None else df

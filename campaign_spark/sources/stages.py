@@ -2,16 +2,17 @@
 
 Writing a stage to the shared checkpoint folder and reading it back cuts the
 lineage (a lost executor recomputes from the stage files, not from the raw
-inputs) and lets later steps reuse it, like a cache that survives restarts.
-A stage is written to a private attempt folder and then renamed into place,
-so a reader never sees a half-written stage and two concurrent builders do
-not corrupt each other (the loser's copy is discarded).
+inputs) and lets later steps reuse it. The caller names the stage by its path.
+
+Every build writes an attempt folder of its own below that path; an attempt is
+committed by the ``_SUCCESS`` file that Spark's committer leaves last. Readers
+take the first committed attempt by name, so nothing is renamed, left-overs of a
+failed build are never read, and of two builds at once each is whole.
 """
 
 from __future__ import annotations
 
-import os
-import shutil
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -21,82 +22,54 @@ from campaign_spark.session import scratch_path
 from campaign_spark.sources.sinks import write_parquet
 
 
-class _HadoopFS:
-    """Path operations through the cluster's Hadoop FileSystem (any scheme)."""
-
-    def __init__(self, spark: SparkSession):
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _p(self, path: str):
-        p = self._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self._conf), p
-
-    def exists(self, path: str) -> bool:
-        fs, p = self._p(path)
-        return fs.exists(p)
-
-    def delete(self, path: str) -> None:
-        fs, p = self._p(path)
-        fs.delete(p, True)
-
-    def rename(self, src: str, dst: str) -> bool:
-        fs, s = self._p(src)
-        _, d = self._p(dst)
-        fs.mkdirs(d.getParent())
-        return fs.rename(s, d)
-
-
-class _LocalFS:
-    """Fallback for clients without a JVM (Spark Connect): local/file: paths."""
-
-    @staticmethod
-    def _local(path: str) -> str:
-        return path[len("file:"):] if path.startswith("file:") else path
-
-    def exists(self, path: str) -> bool:
-        return os.path.exists(self._local(path))
-
-    def delete(self, path: str) -> None:
-        shutil.rmtree(self._local(path), ignore_errors=True)
-
-    def rename(self, src: str, dst: str) -> bool:
-        d = self._local(dst)
-        os.makedirs(os.path.dirname(d), exist_ok=True)
-        if os.path.exists(d):
-            return False
-        os.rename(self._local(src), d)
-        return True
+def _fs(spark: SparkSession, path: str):
+    """The cluster's Hadoop FileSystem for ``path``, and the path in it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _fs(spark: SparkSession):
-    try:
-        return _HadoopFS(spark)
-    except Exception:
-        return _LocalFS()
+def _committed(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path.rstrip("/"))
+    if not fs.exists(p):
+        return None
+    names = sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
+    for name in names:
+        attempt = f"{path.rstrip('/')}/{name}"
+        if name.startswith("attempt-") and fs.exists(_fs(spark, attempt + "/_SUCCESS")[1]):
+            return attempt
+    return None
 
 
 def stage_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed Spark write (``_SUCCESS``)."""
-    return _fs(spark).exists(path.rstrip("/") + "/_SUCCESS")
+    """True when ``path`` holds a committed stage."""
+    return _committed(spark, path) is not None
 
 
 def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str,
                 refresh: bool = False) -> DataFrame:
     """Read the stage at ``path`` if committed, else build, write, re-read."""
-    final = path.rstrip("/")
-    fs = _fs(spark)
-    if refresh and fs.exists(final):
-        fs.delete(final)
-    if not fs.exists(final + "/_SUCCESS"):
-        attempt = f"{final}.attempt-{uuid.uuid4().hex}"
-        write_parquet(build(), attempt)
-        if not fs.rename(attempt, final):
-            # Someone else committed first: keep theirs, drop ours.
-            fs.delete(attempt)
-            if not fs.exists(final + "/_SUCCESS"):
-                raise RuntimeError(f"could not commit stage {final}")
-    return spark.read.parquet(final)
+    if refresh:
+        fs, p = _fs(spark, path.rstrip("/"))
+        if fs.exists(p):
+            fs.delete(p, True)
+    done = _committed(spark, path)
+    if done is None:
+        done = f"{path.rstrip('/')}/attempt-{uuid.uuid4().hex}"
+        write_parquet(build(), done)
+    return spark.read.parquet(done)
+
+
+def input_key(spark: SparkSession, paths: list[str]) -> str:
+    """A name for the present content of ``paths``: exact paths, and their files' sizes and times."""
+    seen = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            found = [fs.getFileStatus(p)] if fs.getFileStatus(p).isFile() else list(fs.listStatus(p))
+            seen += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found)
+        else:
+            seen.append((path, -1, -1))
+    return hashlib.sha256(repr(seen).encode()).hexdigest()[:32]
 
 
 def stage_path(spark: SparkSession, *parts: str) -> str:
