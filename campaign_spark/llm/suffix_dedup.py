@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -251,6 +251,18 @@ def _split(spans: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
     return cut_.select("gram", "span", "key", "part", "at"), cut(parts.join(kinds, "gram"), f"repeat-split-{step}")
 
 
+def _joined(ranges: Column) -> Column:
+    """Ranges (lo, hi) with those that touch made one."""
+    def add(done: Column, x: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        one = F.struct(last["lo"].alias("lo"), F.greatest(last["hi"], x["hi"]).alias("hi"))
+        return F.when((F.size(done) > 0) & (last["hi"] >= x["lo"]),
+                      F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(one))).otherwise(
+            F.concat(done, F.array(x)))
+
+    return F.aggregate(F.array_sort(ranges), F.array().cast("array<struct<lo:int,hi:int>>"), add)
+
+
 def _back(found: DataFrame, has: DataFrame) -> DataFrame:
     """Ranges within parts -> ranges within the spans that have them."""
     f = found.select(F.col("gram").alias("key"), F.col("span").alias("part"), "lo", "hi")
@@ -309,8 +321,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     again = cut(spans.join(grams, "gram"), "repeat-again")
     kinds = again.filter("not alike").groupBy("gram", "span").agg(
         F.count("*").alias("weight"), F.min(F.struct("row", "mark", "s", "e")).alias("at"))
-    number = kinds.groupBy("gram").agg(F.count("*").alias("kinds"))
-    mixed = cut(kinds.join(number, "gram"), "repeat-kinds")
+    number = kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.min("weight").alias("least"))
+    counted = cut(kinds.join(number, "gram"), "repeat-kinds")
+    # Spans that all occur twice or more need no comparison: each is covered whole.
+    sure = counted.filter("least > 1").select("gram", "span", F.lit(0).alias("lo"), (F.col("at.e") - F.col("at.s")).alias("hi"))
+    mixed = counted.filter("least = 1")
     picks = (mixed.groupBy(F.col("at.row").alias("row"), F.col("at.mark").alias("mark"))
              .agg(F.collect_list(F.struct("gram", "span", "weight", "kinds", F.col("at.s").alias("s"),
                                           F.col("at.e").alias("e"))).alias("picks")))  # of one text
@@ -326,14 +341,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     merged = cut(compare.groupBy(F.expr(f"pmod(xxhash64(gram), {buckets})")).applyInPandas(
         _bucket, "gram long, span long, lo int, hi int"), "repeat-merged")
     hot = merged.union(_alike(parts)).union(_back(_alike(windows), has1))
-    found = cut(merged.union(_back(hot, has)).groupBy("gram", "span")
-                .agg(F.collect_list(F.struct("lo", "hi")).alias("r")), "repeat-found")  # of one span
-    whole = again.filter("alike").select("row", "mark", F.col("s").alias("lo"), F.col("e").alias("hi"))
-    parts = (again.filter("not alike").join(found, ["gram", "span"])
-             .select("row", "mark", "s", F.explode("r").alias("r"))
-             .select("row", "mark", (F.col("s") + F.col("r.lo")).alias("lo"), (F.col("s") + F.col("r.hi")).alias("hi")))
-    places = whole.union(parts).groupBy("row", "mark").agg(
-        F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))  # of one text
+    found = cut(merged.union(_back(hot, has)).union(sure).groupBy("gram", "span")
+                .agg(_joined(F.collect_list(F.struct("lo", "hi"))).alias("r")), "repeat-found")  # of one span
+    whole = again.filter("alike").select("row", "mark", F.array(F.struct(F.col("s").alias("lo"), F.col("e").alias("hi"))).alias("r"))
+    parts = again.filter("not alike").join(found, ["gram", "span"]).select("row", "mark", F.transform(
+        "r", lambda x: F.struct((x["lo"] + F.col("s")).alias("lo"), (x["hi"] + F.col("s")).alias("hi"))).alias("r"))
+    places = whole.union(parts).groupBy("row", "mark").agg(F.flatten(F.collect_list("r")).alias("r"))  # of one text
+    places = places.select("row", "mark", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi"))
     none = F.array().cast("array<int>")
     rows = docs.select(*key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), body.alias("body"))
     rows = rows.join(places, ["row", "mark"], "left").select(
