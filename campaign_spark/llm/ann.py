@@ -115,19 +115,23 @@ def _score(v: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def _best(ids: np.ndarray, v: np.ndarray, q_ids: np.ndarray, q: np.ndarray, top: int) -> pd.DataFrame:
-    """Exact top rows of each query among the candidates of one part."""
+    """Exact top ids of each query among the candidates of one part; ``row`` is the place of an id's best row."""
     out = []
+    by_id = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[:1]] - 1)) if len(ids) else by_id
     for at in range(0, len(q_ids), 256):
         rough = q[at:at + 256] @ v.T
         for i, r in enumerate(rough):
             me = q_ids[at + i]
             r = np.where(ids == me, -np.inf, r)
-            floor = np.partition(r, len(r) - top)[len(r) - top] if len(r) > top else -np.inf
+            each = np.maximum.reduceat(r[by_id], first) if len(first) < len(r) else r
+            floor = np.partition(each, len(each) - top)[len(each) - top] if len(each) > top else -np.inf
             take = np.flatnonzero(r >= floor - 1e-9 * max(1.0, abs(floor)) if np.isfinite(floor) else r > -np.inf)
             s = _score(v[take], q[at + i])
-            order = np.lexsort((ids[take], -s))[:top]
-            out.append(pd.DataFrame({"query_id": me, "vec_id": ids[take][order], "score": s[order]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            order = np.lexsort((ids[take], -s))
+            order = order[np.sort(np.unique(ids[take][order], return_index=True)[1])][:top]
+            out.append(pd.DataFrame({"query_id": me, "vec_id": ids[take][order], "score": s[order], "row": take[order]}))
+    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "row": []})
 
 
 def _ranked(hits: DataFrame, top: int) -> DataFrame:
@@ -149,11 +153,17 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     return rows.filter(F.size("v") == dim), dim
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """Equal rows (id and vector) as one; only vectors of ids met more than once are dealt out."""
+    again = cut(rows.groupBy("vec_id").agg(F.count("*").alias("n")).filter("n > 1").select("vec_id"), "ann-again")
+    return rows.join(again, "vec_id", "left_anti").unionByName(rows.join(again, "vec_id", "left_semi").distinct())
+
+
 def nearest(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose id is divisible by ``every``."""
     spark = vectors.sparkSession
     rows, dim = usable(vectors)
-    rows = cut(rows, "ann-rows")
+    rows = cut(once(rows), "ann-rows")
     n, norm2 = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -179,8 +189,11 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP) -> Dat
 
     lists = cut(rows.mapInArrow(assign, "list int, vec_id long, v array<double>"), "ann-lists")
     queries = rows.filter(f"pmod(vec_id, {every}) = 0")
-    filled = np.zeros(len(c), np.int64)
-    for r in lists.groupBy("list").agg(F.count("*").alias("n")).collect():  # MAX_LISTS rows at most
+    # Ids of each list; one with several vectors, in more than REPLICAS lists, counts as REPLICAS over all of them.
+    filled = np.zeros(len(c))
+    held = lists.groupBy("vec_id").agg(F.collect_set("list").alias("lists"))
+    held = held.select(F.explode("lists").alias("list"), F.least(F.lit(1.0), REPLICAS / F.size("lists")).alias("n"))
+    for r in held.groupBy("list").agg(F.sum("n").alias("n")).collect():  # MAX_LISTS rows at most
         filled[r["list"]] = r["n"]
     ratio = _ratio(rows, lists, queries, c, links, norm2, dim, top)
 
@@ -192,7 +205,7 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP) -> Dat
                 d = search(np.concatenate([q, np.zeros((len(q), 1))], 1), c, links, ratio)
                 # The nearest lists up to enough vectors for a full answer are read whatever their distance.
                 order = np.argsort(d, 1, kind="stable")
-                before = np.empty(d.shape, np.int64)
+                before = np.empty(d.shape)
                 np.put_along_axis(before, order, np.cumsum(filled[order], 1) - filled[order], 1)
                 row, node = np.nonzero((d <= ratio * d.min(1)[:, None] + 1e-12) | (before < (top + 1) * REPLICAS))
                 yield pa.RecordBatch.from_arrays(
@@ -204,7 +217,7 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP) -> Dat
     sizes = lists.groupBy("list").agg(F.expr(f"cast(ceil(count(*) / {PART}) as int)").alias("parts"))
     asked = probes.groupBy("list").agg(F.expr(f"cast(ceil(count(*) / {PART}) as int)").alias("asks"))
     plan = cut(sizes.join(asked, "list"), "ann-plan")
-    left = (lists.join(F.broadcast(plan), "list").withColumn("part", F.expr("cast(pmod(xxhash64(vec_id), parts) as int)"))
+    left = (lists.join(F.broadcast(plan), "list").withColumn("part", F.expr("cast(pmod(xxhash64(vec_id, v), parts) as int)"))
             .withColumn("ask", F.explode(F.expr("sequence(0, asks - 1)"))).select("list", "part", "ask", "vec_id", "v"))
     right = (probes.join(F.broadcast(plan), "list").withColumn("ask", F.expr("cast(pmod(xxhash64(query_id), asks) as int)"))
              .withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select("list", "part", "ask", "query_id", "q"))
@@ -212,7 +225,7 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP) -> Dat
     def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return _best(a["vec_id"].to_numpy(), _matrix(a["v"], dim), b["query_id"].to_numpy(), _matrix(b["q"], dim), top)
+        return _best(a["vec_id"].to_numpy(), _matrix(a["v"], dim), b["query_id"].to_numpy(), _matrix(b["q"], dim), top).drop(columns="row")
 
     keys = ["list", "part", "ask"]
     hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(match, "query_id long, vec_id long, score double")
@@ -231,17 +244,24 @@ def _ratio(rows: DataFrame, lists: DataFrame, queries: DataFrame, c: np.ndarray,
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = _best(b.column(0).to_numpy(), _matrix(b.column(1), dim), ids, q, top)
+            got["h"] = b.column(2).to_numpy()[got.pop("row").to_numpy(int)]
             yield pa.RecordBatch.from_pandas(got.astype({"query_id": "int64", "vec_id": "int64"}), preserve_index=False)
 
-    true = _ranked(rows.mapInArrow(brute, "query_id long, vec_id long, score double"), top)
-    where = lists.select("list", "vec_id").join(true, "vec_id").select("query_id", "vec_id", "list").collect()  # CHECKED x TOP x REPLICAS
+    # An id with several vectors is found where its best one is.
+    marked = F.xxhash64("v").alias("h")
+    hits = rows.select("vec_id", "v", marked).mapInArrow(brute, "query_id long, vec_id long, score double, h long")
+    best = hits.groupBy("query_id", "vec_id").agg(F.max_by("h", "score").alias("h"))
+    true = _ranked(hits, top).join(best, ["query_id", "vec_id"])
+    where = lists.select("list", "vec_id", marked).join(true, ["vec_id", "h"]).select("query_id", "vec_id", "list").collect()  # CHECKED x TOP x REPLICAS
     d = _distance(np.concatenate([q, np.zeros((len(q), 1))], 1), c)
     rel = d / np.maximum(d.min(1), 1e-12)[:, None]
-    at = {i: k for k, i in enumerate(ids)}
+    at: dict = {}
+    for k, i in enumerate(ids):
+        at.setdefault(i, []).append(k)
     need: dict = {}
     for r in where:
         key = (r["query_id"], r["vec_id"])
-        need[key] = min(need.get(key, np.inf), rel[at[r["query_id"]], r["list"]])
+        need[key] = min(need.get(key, np.inf), rel[at[r["query_id"]], r["list"]].min())
     return float(np.quantile(list(need.values()), RECALL)) * (1 + 1e-9) if need else 1.0
 
 

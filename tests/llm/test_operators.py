@@ -179,6 +179,37 @@ def test_neighbours(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("times", [2, 30])
+def test_neighbours_of_repeated_rows(spark, times):
+    """Each row ``times`` times, and every third id with a second vector: an id is one candidate, with its best score."""
+    rng = np.random.default_rng(5)
+    n = 300
+    x = rng.normal(size=(n, 6))
+    ids = np.concatenate([np.arange(n), np.arange(0, n, 3)])
+    v = np.concatenate([x, rng.normal(size=(len(ids) - n, 6))])
+    rows = [(int(i), y.tolist()) for i, y in zip(ids, v)] * times
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).toPandas()
+    hits = 0
+    for q in range(0, n, 20):
+        s = np.full(n, -np.inf)
+        for y in v[ids == q]:
+            np.maximum.at(s, ids, (v * y).sum(1))
+        s[q] = -np.inf
+        true = np.lexsort((np.arange(n), -s))[:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert list(mine["rank"]) == list(range(1, 21)) and mine.vec_id.is_unique
+        hits += len(set(true) & set(mine.vec_id))
+    assert hits >= 0.9 * 20 * n / 20
+
+
+def test_best_of_a_part_counts_ids():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(100, 4))
+    ids = np.repeat(np.arange(100), 30)
+    got = ann._best(ids, x[ids], np.array([-1]), x[:1], 20)
+    assert list(got.vec_id) == list(np.argsort(-(x @ x[0]), kind="stable")[:20])
+
+
 def test_lm(docs):
     got = mixing_lm.score_documents(docs).collect()
     rows = [(i, b.lower().split()) for i, b in texts(docs)]
