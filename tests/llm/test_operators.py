@@ -136,6 +136,25 @@ def test_licences(docs, spark):
     assert licences.licence_scan(docs).count() == docs.count()
 
 
+def test_licences_titled_wrapped_and_inside(spark):
+    import textwrap
+
+    wrap = lambda t, n: "\n\n".join("\n".join(textwrap.wrap(x, n)) for x in t.split("\n"))
+    whole = dict(licences.whole_texts())
+    head = "Copyright (c) 2020, Some One\nAll rights reserved.\n\n"
+    isc = wrap(licences.KNOWN["ISC"], 72).replace("above copyright", "above\ncopyright")
+    mit = "The MIT License (MIT)\n\n" + head + wrap(licences.KNOWN["MIT"], 78)
+    cases = {1: (mit, "MIT", ""), 2: ("ISC License\n\n" + head + isc, "ISC", ""),
+             3: ("BSD 3-Clause License\n\n" + head + wrap(whole["BSD-3-Clause"], 76), "BSD-3-Clause", ""),
+             4: (whole["Apache-2.0"], "Apache-2.0", ""), 5: (whole["GPL-3"].replace("http:", "https:"), "GPL-3", ""),
+             6: ("A manual.\nPermission is hereby granted, free of charge, to any person obtaining a copy of it.\n" + mit + "\nMore text.", None, "MIT"),
+             7: ("Two.\n" + mit + "\n" + head + isc + "\nReleased under the MIT License.", None, "ISC,MIT,MIT notice"),
+             8: ("x\n" + mit.replace("sublicense", "lend"), None, ""), 9: (whole["Unlicense"], "Unlicense", "Unlicense")}  # its form without the address is inside
+    df = spark.createDataFrame([(k, t) for k, (t, _, _) in cases.items()], "doc_id long, text string")
+    got = {r.doc_id: (r.license_id, r.notice_ids) for r in licences.licence_scan(df).collect()}
+    assert got == {k: (a, b) for k, (_, a, b) in cases.items()}
+
+
 def test_html():
     page = """<html><head><title>T</title></head><body><header><a href=/>Home</a></header><div id="cookie-banner">We use cookies.</div>
     <main><article><h1>Title &amp; more</h1><p>First   <b>bold</b>text.<div class="ad-slot">Buy!</div><p>Second.</p>
