@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from campaign_spark import operators as ops
 from campaign_spark.plans import fixtures
 from campaign_spark.plans import queries as Q
@@ -16,9 +15,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_no_python_and_no_nested_loop_joins(spark, name):
-    plan = _plan(queries()[name](spark, SF))
+    plan = _plan(Q.QUERIES[name](spark, SF))
     assert not re.search(r"EvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF", plan)
     assert not re.search(r"NestedLoopJoin|CartesianProduct", plan)
 
