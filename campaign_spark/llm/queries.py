@@ -1,6 +1,8 @@
 """Registered queries of this subpackage, and the SQL of those that SQL can express."""
 
 from .ann import op7_nearest_neighbours
+from .divergence import OP12_SQL, op12_source_divergence
+from .fill_middle import OP13_SQL, op13_fill_in_middle
 from .html_text import op1_html_extraction
 from .licences import OP3_SQL, op3_license_scan
 from .mixing import op4_mixing_sources
@@ -22,5 +24,8 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
-ORACLE = {"op3_license_scan": OP3_SQL, "op6_quality_rules": OP6_SQL}
+ORACLE = {"op3_license_scan": OP3_SQL, "op6_quality_rules": OP6_SQL, "op12_source_divergence": OP12_SQL,
+          "op13_fill_in_middle": OP13_SQL}
