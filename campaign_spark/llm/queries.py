@@ -9,6 +9,7 @@ from .mixing import op4_mixing_sources
 from .mixing_lm import op2_lm_scoring
 from .near_dup import op9_minhash_near_dedup
 from .packing import op8_best_fit_packing
+from .personal import op11_personal_data
 from .quality import OP6_SQL, op6_quality_rules
 from .quality_model import op10_quality_classifier
 from .suffix_dedup import op5_suffix_array_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_personal_data": op11_personal_data,
     "op12_source_divergence": op12_source_divergence,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
