@@ -8,6 +8,7 @@ from campaign_spark.operators.filters import filter_rows, having, non_null_rows,
 from campaign_spark.operators.impute import cast_int, cleanse, fill_constants, impute_group_median
 from campaign_spark.operators.joins import Dimension, attach_group_value, fits_broadcast, maybe_broadcast, star_join
 from campaign_spark.operators.modelling import model_dataset, prediction_points
+from campaign_spark.operators.ordering import in_order, ranked, with_before, written
 from campaign_spark.operators.popularity import category_popularity, item_popularity, item_stats
 from campaign_spark.operators.profile import (
     code_compliance, group_distinct_counts, group_value_histogram, null_coverage_gaps,

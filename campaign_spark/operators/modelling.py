@@ -8,10 +8,11 @@ everything strictly before the prediction date (spend and the efficiency
 ratios of sums), and the *labels* sum the measures in the 7 days after it
 (``p < date <= p + 7``). Test labels lie beyond the data, so they are NULL.
 
-Plan: one join of the rows to their strategy's last date (per-strategy table,
-AQE-broadcast when small), a 3-way explode of the split offsets (bounded
-fan-out), then ONE grouped aggregation with conditional sums (map-side
-combine). No interval join and no per-group task.
+Plan: the rows are summed once per (strategy, date, country, region, channel)
+with map-side combine and written; that day table, not the rows, is joined to
+each strategy's last date (its own maximum) and summed once more with one set of
+conditional sums per split. The splits become rows of the result at the very
+end, so no input row is repeated, and the input is scanned once.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from campaign_spark.functions.nulls import drop_null_keys, present
 
 from campaign_spark.functions.ratios import RATIOS, from_units, safe_ratio, to_units
 from campaign_spark.operators.joins import attach_group_value
+from campaign_spark.operators.ordering import written
 
 from campaign_spark.fixed import LABEL_DAYS, SPLITS
 
@@ -47,25 +49,32 @@ def model_dataset(df: DataFrame, key: str = "strategy_id", date_col: str = "capt
     by = ["country", "region", "channel_name"] if by is None else by
     measures = ["impressions", "clicks", "conversions"] if measures is None else measures
     splits = SPLITS if splits is None else splits
-    arr = F.array(*[F.struct(F.lit(s).alias("split"), F.lit(o).alias("offset")) for s, o in splits])
-    # The last date is the strategy's over ALL its rows; then rows without a
+    spent = F.sum(present(spend)) if spend_scale is None else F.sum(to_units(spend, spend_scale))
+    daily = written(drop_null_keys(df, [key]).groupBy(key, date_col, *by).agg(
+        spent.alias("_spent"), F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(f"_m_{m}") for m in measures]), "model-days")
+    # The last date is the strategy's over ALL its rows; then days without a
     # complete (country, region, channel) key are left out of the groups.
-    rows = drop_null_keys(attach_group_value(drop_null_keys(df, [key]), [key], F.max(date_col), "_last"), by)
-    rows = rows.select("*", F.explode(arr).alias("_s")).select(
-        "*", F.col("_s.split").alias("split"),
-        F.date_sub(F.col("_last"), F.col("_s.offset")).alias("prediction_date"),
-    )
-    d, p = F.col(date_col), F.col("prediction_date")
-    past = d < p
-    future = (d > p) & (d <= F.date_add(p, label_days))
-    has_future = F.max(F.col("_last")) > F.max(p)  # any date after p in this strategy
-    spent = (F.sum(F.when(past, present(spend))) if spend_scale is None
-             else from_units(F.sum(F.when(past, to_units(spend, spend_scale))), spend_scale))
-    feats = [spent.alias(f"state_{spend}")]
-    feats += [F.sum(F.when(past, F.col(m))).alias(f"state_{m}") for m in measures]
-    feats += [F.count_if(past).alias("state_rows")]
-    labels = [F.when(has_future, F.coalesce(F.sum(F.when(future, F.col(m))), F.lit(0.0))).alias(f"label_{m}")
-              for m in measures]
-    out = rows.groupBy(key, "split", "prediction_date", *by).agg(*feats, *labels)
+    days = drop_null_keys(attach_group_value(daily, [key], F.max(date_col), "_last"), by)
+    d, last = F.col(date_col), F.col("_last")
+    sums = []
+    for k, (_, offset) in enumerate(splits):
+        p = F.date_sub(last, offset)
+        past, future = d < p, (d > p) & (d <= F.date_add(p, label_days))
+        sums.append(F.sum(F.when(past, F.col("_spent"))).alias(f"_spent{k}"))
+        sums.append(F.coalesce(F.sum(F.when(past, F.col("_n"))), F.lit(0)).alias(f"_rows{k}"))
+        sums += [F.sum(F.when(past, F.col(f"_m_{m}"))).alias(f"_state{k}_{m}") for m in measures]
+        sums += [F.sum(F.when(future, F.col(f"_m_{m}"))).alias(f"_label{k}_{m}") for m in measures]
+    groups = days.groupBy(key, *by).agg(F.max(last).alias("_last"), *sums)
+    points = []
+    for k, (split, offset) in enumerate(splits):
+        p = F.date_sub("_last", offset)
+        spent = F.col(f"_spent{k}") if spend_scale is None else from_units(f"_spent{k}", spend_scale)
+        labels = [F.when(F.col("_last") > p, F.coalesce(F.col(f"_label{k}_{m}"), F.lit(0.0))).alias(f"label_{m}") for m in measures]
+        points.append(F.struct(F.lit(split).alias("split"), p.alias("prediction_date"), spent.alias(f"state_{spend}"),
+                               *[F.col(f"_state{k}_{m}").alias(f"state_{m}") for m in measures],
+                               F.col(f"_rows{k}").alias("state_rows"), *labels))
+    out = groups.select(key, *by, F.explode(F.array(*points)).alias("_p")).select(
+        key, "_p.split", "_p.prediction_date", *by, f"_p.state_{spend}", *[f"_p.state_{m}" for m in measures], "_p.state_rows",
+        *[f"_p.label_{m}" for m in measures])
     ratios = {f"state_{o}": safe_ratio(f"state_{n}", f"state_{dd}") for o, (n, dd) in RATIOS.items()}
     return out.withColumns(ratios)

@@ -44,7 +44,11 @@ def item_stats(ratings: DataFrame, how: str = "count", user: str = "user_id", it
 def item_popularity(ratings: DataFrame, items: DataFrame, how: str = "count", item: str = "movie_id",
                     **cols: str) -> DataFrame:
     """Items that have ratings, with their popularity (inner join on the id)."""
-    stats = item_stats(ratings, how, item=item, **cols)
+    return items_with(item_stats(ratings, how, item=item, **cols), items, item)
+
+
+def items_with(stats: DataFrame, items: DataFrame, item: str = "movie_id") -> DataFrame:
+    """Items that have statistics (``item_stats``), with them."""
     return items.join(stats, item, "inner")
 
 
@@ -55,7 +59,12 @@ def category_popularity(ratings: DataFrame, items: DataFrame, how: str = "count"
     the items' distinct-user counts). ``mean``: ``genre``, ``sum_rating``,
     ``n_ratings``, ``popularity``. A NULL category list contributes nothing;
     an empty string is a category of its own."""
-    stats = item_stats(ratings, how, item=item, **cols)
+    return categories_with(item_stats(ratings, how, item=item, **cols), items, how, categories, sep, item, name)
+
+
+def categories_with(stats: DataFrame, items: DataFrame, how: str = "count", categories: str = "genres",
+                    sep: str = CATEGORY_SEPARATOR, item: str = "movie_id", name: str = "genre") -> DataFrame:
+    """``category_popularity`` from item statistics that are already there."""
     pattern = "\\Q" + sep + "\\E"
     exploded = (
         items.select(item, F.explode(F.split(F.col(categories), pattern, -1)).alias(name))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaign_spark.functions.nulls import NA, drop_null_keys, na_label
+from campaign_spark.functions.nulls import drop_null_keys, na_label
 from campaign_spark.fixed import CODE_PARTS, CODE_SEPARATOR, COUNT_ITEM_SEPARATOR as ITEM_SEPARATOR
 from campaign_spark.functions.text import code_compliance_label, count_text
 from campaign_spark.operators.quantiles import quantiles_long
@@ -98,40 +98,48 @@ def group_value_histogram(
 
 def _chunked_histogram_text(hist: DataFrame, keys: list[str], text_col: str, count_col: str,
                             chunk_size: int) -> DataFrame:
-    """Same text, built in parallel pieces: each entry's position in the
-    group's display order comes from a blocked running count, runs of
-    ``chunk_size`` entries are sorted and rendered by separate tasks, and the
-    group's last step only joins its rendered chunks in order."""
-    ranked = rank_within(hist.withColumnRenamed("n", "n_counts"), keys, None, value_col="value")
-    chunks = (
-        ranked.withColumn("_chunk", F.floor((F.col("rank") - 1) / F.lit(chunk_size)))
+    """Same text, built as a tree: each entry's position in the group's
+    display order comes from ``rank_within`` (ranges of count and value, so equal
+    counts are split too), runs of ``chunk_size`` entries are rendered by
+    separate tasks, and runs of ``chunk_size`` texts are joined, level by level,
+    until one is left. No task joins more than ``chunk_size`` pieces of a group
+    at once (two if that is one); the last ones hold the text that is the result."""
+    placed = rank_within(hist.withColumnRenamed("n", "n_counts"), keys, None, value_col="value")
+    most = placed.agg(F.max("rank")).first()[0] or 1
+    piece = F.struct("rank", "value", F.col("n_counts").alias("n"))
+    level = (
+        placed.withColumn("_chunk", F.expr(f"(rank - 1) div {chunk_size}"))
         .groupBy(*keys, "_chunk")
-        .agg(F.count(F.lit(1)).alias("_k"),
-             F.array_sort(F.collect_list(F.struct("rank", "value", F.col("n_counts").alias("n")))).alias("_h"))
+        .agg(F.count(F.lit(1)).alias("_k"), F.array_sort(F.collect_list(piece)).alias("_h"))
         .select(*keys, "_chunk", "_k",
                 count_text(F.transform("_h", lambda x: F.struct(x["value"].alias("value"), x["n"].alias("n"))))
                 .alias("_text"))
     )
-    per_group = chunks.groupBy(*keys).agg(
-        F.sum("_k").alias(count_col),
-        F.array_sort(F.collect_list(F.struct("_chunk", "_text"))).alias("_parts"),
-    )
-    return per_group.select(
-        *keys, count_col,
-        F.array_join(F.transform("_parts", lambda x: x["_text"]), ITEM_SEPARATOR).alias(text_col),
-    )
+    chunks, fan = -(-most // chunk_size), max(2, chunk_size)
+    while chunks > 1:
+        level = (
+            level.withColumn("_up", F.expr(f"_chunk div {fan}"))
+            .groupBy(*keys, F.col("_up"))
+            .agg(F.sum("_k").alias("_k"), F.array_sort(F.collect_list(F.struct("_chunk", "_text"))).alias("_parts"))
+            .select(*keys, F.col("_up").alias("_chunk"), "_k",
+                    F.array_join(F.transform("_parts", lambda x: x["_text"]), ITEM_SEPARATOR).alias("_text"))
+        )
+        chunks = -(-chunks // fan)
+    return level.select(*keys, F.col("_k").alias(count_col), F.col("_text").alias(text_col))
 
 
 def group_distinct_counts(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Number of distinct values of each column per group, NULL counted as
-    one value ('NA'). NULL-key rows dropped. Output ``{col}_distinct``."""
-    return drop_null_keys(df, keys).groupBy(*keys).agg(*[
-        # NULL counts as 'NA', and as nothing new beside a stored 'NA'.
-        (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("long"))
-         * (F.lit(1) - F.coalesce(F.max((F.col(c).cast("string") == F.lit(NA)).cast("long")), F.lit(0)))
-         ).alias(f"{c}_distinct")
-        for c in cols
-    ])
+    one value ('NA'). NULL-key rows dropped. Output ``{col}_distinct``.
+
+    One pass for all columns: rows are stacked as (group, column, value), made
+    distinct with map-side combine (the shuffle key holds the value, so a hot
+    group is spread), and the rows left are counted per group and column.
+    """
+    items = F.array(*[F.struct(F.lit(i).alias("i"), na_label(c).alias("value")) for i, c in enumerate(cols)])
+    values = (drop_null_keys(df, keys).select(*keys, F.explode(items).alias("_v"))
+              .select(*keys, F.col("_v.i").alias("_i"), F.col("_v.value").alias("_value")).distinct())
+    return values.groupBy(*keys).agg(*[F.count_if(F.col("_i") == i).alias(f"{c}_distinct") for i, c in enumerate(cols)])
 
 
 def null_coverage_gaps(df: DataFrame, keys: list[str], measure: str) -> DataFrame:

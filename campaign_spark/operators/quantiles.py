@@ -5,17 +5,15 @@ Plan (``method="bucketed"``, the default):
 1. Stack the measures into (keys, measure, value) and count each distinct
    value per group with ``groupBy`` (map-side combine; the shuffle key
    includes the value, so a hot group is spread over many tasks).
-2. Split each group's distinct values into ~``buckets`` value ranges whose
-   boundaries come from ``percentile_approx`` over the distinct values (a
-   bounded-memory sketch merged across tasks). The sketch only decides how
-   the work is split; it never decides the answer.
-3. Count rows per (group, bucket), a small table, and find with a window
-   over it which bucket holds each target rank and how many rows precede it.
-4. Walk only those buckets in value order (a window per (group, bucket)) and
+2. Range-partition that histogram on (group, value) and write it once with the
+   number of each row's range (``ordering.in_order``). All that follows reads
+   those files, so there is one source of range boundaries.
+3. Count rows per (group, range), a small table, and find with a window over it
+   which range holds each target rank and how many rows precede it.
+4. Walk only those ranges in value order (a window per (group, range)) and
    pick the values at ranks ``floor(h)`` and ``ceil(h)``, ``h = (n - 1) * p``.
 
-No task ever holds all the rows, or all the distinct values, of one group:
-the ordered walk sees about 1/``buckets`` of a group's distinct values.
+No task ever holds all the rows, or all the distinct values, of one group.
 ``method="window"`` skips steps 2-3 and walks each group's whole histogram in
 one window task (fewer stages; fine when groups have few distinct values).
 ``method="builtin"`` is Spark's exact ``percentile`` (one in-memory value map
@@ -35,8 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaign_spark.functions.nulls import drop_null_keys
+from campaign_spark.operators.ordering import BLOCK, in_order, with_before
 
-DEFAULT_BUCKETS = 64
 SKETCH_ACCURACY = 1_000
 
 
@@ -68,45 +66,25 @@ def _ranked_window(hist: DataFrame, part: list[str]) -> DataFrame:
     )
 
 
-def _ranked_bucketed(hist: DataFrame, part: list[str], probs: list[float], buckets: int) -> DataFrame:
-    """Only the histogram rows of the buckets holding a target rank, with the
-    same ``cum`` / ``total`` as ``_ranked_window`` would give them."""
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = hist.groupBy(*part).agg(
-        F.percentile_approx("value", F.array(*[F.lit(c) for c in cuts]), SKETCH_ACCURACY).alias("_bounds"))
-    value = F.col("value")
-    # One shuffle on (group, bucket) serves both the per-bucket counts and
-    # the ordered walk below (same partitioning, exchange reused). The answer
-    # never depends on where the boundaries fall, only on both consumers
-    # seeing the same bucket of each value: they read this one exchange,
-    # built from one broadcast of the boundaries per query execution, and a
-    # lost map output is recomputed against that same broadcast.
-    bucketed = hist.join(bounds, part, "inner").select(
-        *part, "value", "n", F.size(F.filter("_bounds", lambda b: b < value)).alias("_bucket")
-    ).repartition(*part, "_bucket")
-
-    per_bucket = bucketed.groupBy(*part, "_bucket").agg(F.sum("n").alias("_bn"))
-    upto = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_bucket = per_bucket.select(
-        *part, "_bucket", "_bn",
-        (F.sum("_bn").over(upto) - F.col("_bn")).alias("_before"),
-        F.sum("_bn").over(Window.partitionBy(*part)).alias("total"),
-    )
-    before, size = F.col("_before"), F.col("_bn")
+def _ranked_bucketed(hist: DataFrame, part: list[str], probs: list[float], buckets: int | None) -> DataFrame:
+    """Only the histogram rows of the ranges holding a target rank, with the same ``cum`` / ``total`` as
+    ``_ranked_window`` would give them.
+
+    ``buckets``: number of ranges over all groups; None leaves it to the session's shuffle partitions."""
+    placed = with_before(in_order(hist, [*part, "value"], "quantiles", buckets), part, F.col("n"))
+    before, size = F.col("__before"), F.col("__block_n")
     holds = []
     for p in probs:
-        lo, hi, _ = _rank_bounds(F.col("total"), p)
+        lo, hi, _ = _rank_bounds(F.col("__all"), p)
         holds += [(before <= lo) & (lo < before + size), (before <= hi) & (hi < before + size)]
-    targets = per_bucket.where(reduce(lambda a, b: a | b, holds)).select(*part, "_bucket", "_before", "total")
-
-    inside = Window.partitionBy(*part, "_bucket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return bucketed.join(targets, [*part, "_bucket"], "inner").select(
-        *part, "value", (F.col("_before") + F.sum("n").over(inside)).alias("cum"), "total")
+    # The condition reads the table of ranges alone, so it is applied before the rows are joined to it.
+    targets = placed.where(reduce(lambda a, b: a | b, holds))
+    inside = Window.partitionBy(*part, BLOCK).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return targets.select(*part, "value", (before + F.sum("n").over(inside)).alias("cum"), F.col("__all").alias("total"))
 
 
 def _ranked(df: DataFrame, keys: list[str], cols: list[str], probs: list[float], method: str,
-            buckets: int) -> DataFrame:
+            buckets: int | None) -> DataFrame:
     """Histogram rows (at least those around every target rank) with their
     running count ``cum`` and group size ``total``, per (keys, measure)."""
     src = drop_null_keys(df, keys) if keys else df
@@ -116,7 +94,7 @@ def _ranked(df: DataFrame, keys: list[str], cols: list[str], probs: list[float],
         .groupBy(*part, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    if method == "window" or (method == "bucketed" and buckets < 2):
+    if method == "window":
         return _ranked_window(hist, part)
     if method == "bucketed":
         return _ranked_bucketed(hist, part, probs, buckets)
@@ -140,7 +118,7 @@ def quantiles_long(
     cols: list[str],
     probs: list[float],
     method: str = "bucketed",
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact quantiles as rows: keys..., measure, q0..q{k-1} (one per prob), n.
 
@@ -159,7 +137,7 @@ def group_quantiles(
     prob: float,
     prefix: str,
     method: str = "bucketed",
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One quantile per measure as wide columns ``{prefix}{col}`` per group,
     picked and pivoted in a single aggregation."""

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaign_spark.functions.nulls import drop_null_keys, na_label
+from campaign_spark.operators.ordering import ranked
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
@@ -120,7 +121,6 @@ def distinct_value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def value_counts_within(
     df: DataFrame, by: str, col: str, k: int | None = None, drop_null_by: bool = True,
-    sub_blocks: int | None = None,
 ) -> DataFrame:
     """Histogram of ``col`` inside each value of ``by`` (``col`` NULL -> 'NA').
 
@@ -135,38 +135,23 @@ def value_counts_within(
         .groupBy(by, na_label("_v").alias(col))
         .agg(F.sum("n_counts").alias("n_counts"))
     )
-    return rank_within(counts, [by], k, value_col=col, sub_blocks=sub_blocks)
-
-
-def string_order_key(c: str | Column) -> Column:
-    """A BIGINT that never decreases along the byte order of a string: its
-    first 7 UTF-8 bytes read as an unsigned big-endian number (shorter
-    strings padded with zero bytes). Equal keys are ties, not errors."""
-    col = F.col(c) if isinstance(c, str) else c
-    prefix = F.hex(F.substring(F.encode(col, "UTF-8"), 1, 7))
-    return F.conv(F.rpad(prefix, 14, "0"), 16, 10).cast("long")
+    return rank_within(counts, [by], k, value_col=col)
 
 
-def rank_within(counts: DataFrame, part: list[str], k: int | None, value_col: str = "value",
-            sub_blocks: int | None = None) -> DataFrame:
+def rank_within(counts: DataFrame, part: list[str], k: int | None, value_col: str = "value") -> DataFrame:
     """``rank`` by count descending, then value, inside each ``part`` group.
 
     With ``k``: ``row_number() <= k``, which Spark runs as a partial top-k
-    per task before the shuffle. Without ``k`` (full ranking) the rank is a
-    running count over that order, computed by ``running_totals`` in blocks
-    of equal count (and, with ``sub_blocks``, ranges of the value's byte
-    order), so a group with very many distinct values is not one task.
+    per task before the shuffle. Without ``k`` (full ranking) the rows are
+    range-partitioned on the group, the count and the value itself, and ranks
+    come from prefix sums over the ranges (``ordering.ranked``): neither a
+    group with very many distinct values nor a long run of equal counts, with
+    whatever common start, is one task.
     """
     if k is not None:
         w = Window.partitionBy(*part).orderBy(F.desc("n_counts"), F.asc(value_col))
         return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    # The group as one struct column: never NULL, so a NULL key is a group too.
-    keyed = counts.withColumns({
-        "__grp": F.struct(*[F.col(c) for c in part]),
-        "__neg_n": -F.col("n_counts"), "__one": F.lit(1), "__vkey": string_order_key(value_col)})
-    ran = running_totals(keyed, ["__grp"], "__neg_n", ["__one"], tiebreak=["__vkey", value_col],
-                         sub_blocks=sub_blocks)
-    return ran.withColumn("rank", F.col("__one_cumul").cast("long")).select(*counts.columns, "rank")
+    return ranked(counts, part, [F.desc("n_counts"), value_col])
 
 
 def simple_value_counts(df: DataFrame, col: str | Column, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ from campaign_spark.operators.joins import Dimension, star_join
 from campaign_spark.operators.windows import running_totals
 from campaign_spark.schemas import BREAKDOWN_KEYS, JOINED_COLUMNS, MEASURES
 from campaign_spark.sources.jdbc import write_jdbc
-from campaign_spark.sources.sinks import write_result_csv
+from campaign_spark.sources.ordered import write_sorted_csv
 from campaign_spark.sources.stages import materialize, stage_path
 
 RUNNING_OUTPUT = ["captured_date", "impressions", "clicks", "impressions_cumul", "clicks_cumul",
@@ -113,15 +113,15 @@ RESULT_TABLES = ["totals_by_country", "totals_by_channel_name", "totals_by_busin
 
 def export_results(results: dict[str, DataFrame], out_dir: str | None = None, jdbc_url: str | None = None,
                    jdbc_properties: dict[str, str] | None = None, batchsize: int = 100) -> None:
-    """Write the stage-3 results: one sorted CSV each (small aggregates, or
-    one strategy's rows) and, with ``jdbc_url``, a replaced database table
+    """Write the stage-3 results: one sorted CSV result each (files in
+    order of their names) and, with ``jdbc_url``, a replaced database table
     each (batched inserts, typed columns)."""
     for name, df in results.items():
         if name not in RESULT_TABLES:
             continue
         order = [*RUNNING_OUTPUT_ORDER, *(c for c in df.columns if c not in RUNNING_OUTPUT_ORDER)] if name == "running_totals" else [df.columns[0]]
         if out_dir is not None:
-            write_result_csv(df, f"{out_dir.rstrip('/')}/{name}", order_by=order)
+            write_sorted_csv(df, f"{out_dir.rstrip('/')}/{name}", order_by=order)
         if jdbc_url is not None:
             write_jdbc(df, jdbc_url, name, mode="overwrite", batchsize=batchsize,
                        properties=jdbc_properties)

@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaign_spark.fixed import CATEGORY_SEPARATOR
-from campaign_spark.functions.ratios import safe_ratio
-from campaign_spark.operators.popularity import item_stats
-from campaign_spark.sources.sinks import write_result_csv
+from campaign_spark.operators.popularity import categories_with, item_stats, items_with
+from campaign_spark.sources.ordered import write_sorted_csv
 from campaign_spark.sources.stages import materialize, stage_path
 
 
@@ -33,18 +32,11 @@ def run_popularity(spark: SparkSession, ratings: DataFrame, items: DataFrame, ho
     """
     stats = materialize(spark, lambda: item_stats(ratings, how, item=item),
                         stage or stage_path(spark, name, how, uuid.uuid4().hex), refresh)
-    per_item = items.join(stats, item, "inner")
-    exploded = items.select(item, F.explode(F.split(F.col(categories), "\\Q" + sep + "\\E", -1)).alias("genre")) \
-        .join(stats, item, "inner")
-    if how == "count":
-        per_cat = exploded.groupBy("genre").agg(F.sum("popularity").alias("popularity"))
-    else:
-        per_cat = (exploded.groupBy("genre")
-                   .agg(F.sum("sum_rating").alias("sum_rating"), F.sum("n_ratings").alias("n_ratings"))
-                   .withColumn("popularity", safe_ratio("sum_rating", "n_ratings")))
+    per_item = items_with(stats, items, item)
+    per_cat = categories_with(stats, items, how, categories, sep, item)
     if out_dir is not None:
         base = out_dir.rstrip("/")
-        write_result_csv(per_item, f"{base}/{name}_{how}_items", order_by=["popularity", item])
-        write_result_csv(per_cat, f"{base}/{name}_{how}_categories",
+        write_sorted_csv(per_item, f"{base}/{name}_{how}_items", order_by=["popularity", item])
+        write_sorted_csv(per_cat, f"{base}/{name}_{how}_categories",
                          order_by=[F.desc("popularity"), "genre"])
     return {"items": per_item, "categories": per_cat}

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from campaign_spark import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
              mode: str = "FAILFAST", **options: str) -> DataFrame:
     """CSV with a header. With ``schema`` the columns are typed on read
     (``mode`` decides what a malformed row does); without one every column
@@ -71,9 +71,3 @@ def typed_ratings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     rejected = typed.where(bad).select(F.col("_u").alias("user_id"), F.col("_m").alias("movie_id"),
                                        F.col("_r").alias("rating"))
     return good, rejected
-
-
-def read_result_csv(spark: SparkSession, path: str, schema: T.StructType, n: int | None) -> DataFrame:
-    """Re-read a result CSV with its schema; ``n`` first rows (None = all)."""
-    df = read_csv(spark, path, schema)
-    return df.limit(n) if n is not None else df

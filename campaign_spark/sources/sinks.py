@@ -17,14 +17,3 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header, one file per task (any size)."""
     df.write.mode(mode).option("header", "true").csv(path)
-
-
-def write_result_csv(df: DataFrame, path: str, order_by: list[str] | None = None,
-                     mode: str = "overwrite") -> None:
-    """A small result (an aggregate) as ONE sorted CSV file with a header.
-
-    Only for outputs whose size is bounded by the number of groups: the final
-    sort runs in a single task. Large tables go through ``write_csv``.
-    """
-    out = df.orderBy(*order_by) if order_by else df
-    out.coalesce(1).write.mode(mode).option("header", "true").csv(path)

@@ -22,20 +22,20 @@ from campaign_spark.session import scratch_path
 from campaign_spark.sources.sinks import write_parquet
 
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
     """The cluster's Hadoop FileSystem for ``path``, and the path in it."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def _committed(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path.rstrip("/"))
+    fs, p = hadoop_fs(spark, path.rstrip("/"))
     if not fs.exists(p):
         return None
     names = sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
     for name in names:
         attempt = f"{path.rstrip('/')}/{name}"
-        if name.startswith("attempt-") and fs.exists(_fs(spark, attempt + "/_SUCCESS")[1]):
+        if name.startswith("attempt-") and fs.exists(hadoop_fs(spark, attempt + "/_SUCCESS")[1]):
             return attempt
     return None
 
@@ -49,7 +49,7 @@ def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str,
                 refresh: bool = False) -> DataFrame:
     """Read the stage at ``path`` if committed, else build, write, re-read."""
     if refresh:
-        fs, p = _fs(spark, path.rstrip("/"))
+        fs, p = hadoop_fs(spark, path.rstrip("/"))
         if fs.exists(p):
             fs.delete(p, True)
     done = _committed(spark, path)
@@ -63,7 +63,7 @@ def input_key(spark: SparkSession, paths: list[str]) -> str:
     """A name for the present content of ``paths``: exact paths, and their files' sizes and times."""
     seen = []
     for path in paths:
-        fs, p = _fs(spark, path)
+        fs, p = hadoop_fs(spark, path)
         if fs.exists(p):
             found = [fs.getFileStatus(p)] if fs.getFileStatus(p).isFile() else list(fs.listStatus(p))
             seen += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found)

@@ -8,8 +8,8 @@ from campaign_spark.operators import model_dataset, prediction_points
 from campaign_spark.plans.campaign import engineer, join_campaign, run_materialized, strategy_running_totals
 from campaign_spark.session import scratch_path
 from campaign_spark.sources import (
-    column_types_option, materialize, read_campaign_csvs, read_jdbc, read_result_csv, stage_exists,
-    table_shapes, write_result_csv,
+    column_types_option, materialize, read_campaign_csvs, read_in_order, read_jdbc, stage_exists,
+    table_shapes, write_sorted_csv,
 )
 from campaign_spark.schemas import JOINED
 from campaign_spark.streaming import batched_rows
@@ -111,9 +111,9 @@ def test_materialize_reads_existing_stage(spark):
 def test_result_csv_round_trip(spark):
     df = spark.createDataFrame([("b", 2.0), ("a", 1.5)], "country string, impressions double")
     path = scratch_path(spark, "result_csv", uuid.uuid4().hex)
-    write_result_csv(df, path, order_by=["country"])
-    back = read_result_csv(spark, path, df.schema, n=None)
-    assert [tuple(r) for r in back.collect()] == [("a", 1.5), ("b", 2.0)]
+    assert write_sorted_csv(df, path, order_by=["country"]) == 1
+    back = read_in_order(spark, path, df.schema)
+    assert sorted(map(tuple, back.collect())) == [("a", 1.5, 1), ("b", 2.0, 2)]
 
 
 def test_table_shapes(spark):

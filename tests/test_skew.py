@@ -48,6 +48,6 @@ def test_hot_group_full_ranking_exact(spark):
     rnd = random.Random(3)
     data = [("HOT", f"v{rnd.randint(0, 400)}") for _ in range(4000)] + [("cold", "a"), ("cold", "b")]
     df = spark.createDataFrame(data, "country string, region string")
-    got = {(r.country, r.region): r.rank for r in value_counts_within(df, "country", "region", sub_blocks=8).collect()}
+    got = {(r.country, r.region): r.rank for r in value_counts_within(df, "country", "region").collect()}
     exp = {(r.country, r.region): r.rank for r in value_counts_within(df, "country", "region", k=10**6).collect()}
     assert got == exp
