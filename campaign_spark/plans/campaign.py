@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campaign_spark.fixed import RUNNING_KEYS
+from campaign_spark.fixed import RUNNING_KEYS, RUNNING_OUTPUT_ORDER
 from campaign_spark.functions.calendar import year_month_of, year_of
 from campaign_spark.functions.nulls import nan_to_null, present
 from campaign_spark.functions.ratios import from_units, to_units
@@ -91,7 +91,9 @@ def run_materialized(spark: SparkSession, build_joined, strategy_id: int, tiebre
     name every call has stages of its own."""
     name = name or f"campaign-{uuid.uuid4().hex}"
     joined = materialize(spark, build_joined, stage_path(spark, name, "joined"), refresh)
-    cleansed = materialize(spark, lambda: cleanse(joined), stage_path(spark, name, "cleansed"), refresh)
+    # One strategy's rows are neighbours in the files; its dates and the tie-breaks cut a hot one into ranges.
+    cleansed = materialize(spark, lambda: cleanse(joined), stage_path(spark, name, "cleansed"), refresh,
+                           cluster_by=["strategy_id", "captured_date", *(tiebreak or [])])
     engineered = materialize(spark, lambda: engineer(cleansed), stage_path(spark, name, "engineered"), refresh)
     sets = materialize(spark, lambda: totals_by_sets(cleansed, BREAKDOWN_KEYS, MEASURES),
                        stage_path(spark, name, "totals"), refresh)
@@ -106,7 +108,6 @@ def run_materialized(spark: SparkSession, build_joined, strategy_id: int, tiebre
 # Results written by ``export_results`` (column types come from the JDBC
 # dialect's mapping of the Spark types: STRING -> text, DOUBLE -> double
 # precision, DATE -> date on PostgreSQL, as the source pipeline declared).
-RUNNING_OUTPUT_ORDER = ["channel_name", "region", "captured_date"]
 RESULT_TABLES = ["totals_by_country", "totals_by_channel_name", "totals_by_business_vertical",
                  "running_totals"]
 

@@ -3,7 +3,8 @@
 Campaign fact = one row per ``lineitem``; its labels come from a star join:
 the geography dimension (nation + region; rows of one nation get no key and so
 no country) and the vertical dimension (part; rows of every tenth part get no
-key). The channel is the order priority. Measures are derived from lineitem
+key) and the channel dimension (the distinct order priorities, keyed by their
+digit). Measures are derived from lineitem
 columns with deterministic NULLs so that every cleansing rule is exercised.
 The last three columns are tie-breakers for ordered operations.
 
@@ -17,7 +18,7 @@ joined with ``|``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaign_spark.operators.joins import Dimension, star_join
@@ -47,6 +48,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channel dimension (channel_id, channel_label): the distinct order priorities, keyed by their digit."""
+    label = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("channel_label")).distinct()
+    return label.select(channel_id("channel_label").alias("channel_id"), "channel_label")
+
+
+def channel_id(priority: str) -> Column:
+    return F.substring(priority, 1, 1).cast("int")
+
+
 def campaign_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined campaign table: ``JOINED_COLUMNS`` + tie-break columns."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -63,7 +74,8 @@ def campaign_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Some facts have no label: their key, not the dimension's row, is left out.
     fact = fact.withColumns({
         "c_nationkey": F.when(F.col("c_nationkey") != EXCLUDED_NATION, F.col("c_nationkey")),
-        "part_key": F.when(F.col("l_partkey") % EXCLUDED_PART_MODULUS != 0, F.col("l_partkey"))})
+        "part_key": F.when(F.col("l_partkey") % EXCLUDED_PART_MODULUS != 0, F.col("l_partkey")),
+        "channel_key": channel_id("o_orderpriority")})
 
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -74,6 +86,7 @@ def campaign_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = star_join(fact, [
         Dimension(geo, "c_nationkey", "n_nationkey", {"r_name": "country", "n_name": "region"}),
         Dimension(verticals, "part_key", "p_partkey", {"p_type": "business_vertical"}),
+        Dimension(channels(spark, sf_dir), "channel_key", "channel_id", {"channel_label": "channel_name"}),
     ])
     ln = F.col("l_linenumber")
     return joined.select(
@@ -81,10 +94,10 @@ def campaign_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
         "business_vertical",
         "country",
         "region",
-        F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority"))
-        .otherwise(F.concat(F.col("country"), F.lit("-"), F.col("o_orderpriority"))).alias("city_code"),
+        F.when(F.col("o_orderstatus") == "P", F.col("channel_name"))
+        .otherwise(F.concat(F.col("country"), F.lit("-"), F.col("channel_name"))).alias("city_code"),
         F.col("l_suppkey").alias("strategy_id"),
-        F.col("o_orderpriority").alias("channel_name"),
+        "channel_name",
         F.when(ln % 3 == 0, F.lit(None).cast("double")).otherwise((ln % 3).cast("double")).alias("goal_type"),
         F.col("l_tax").alias("total_spend_cpm"),
         F.when(ln == 7, F.lit(None).cast("double")).otherwise(F.col("l_quantity")).alias("impressions"),

@@ -5,6 +5,8 @@ nothing but the base tables. Column names equal the Spark outputs.
 
 from __future__ import annotations
 
+from campaign_spark.fixed import CATEGORICAL
+
 # The joined campaign table (same rows as plans.fixtures.campaign_joined).
 CAMP = """
 camp AS (
@@ -15,7 +17,7 @@ camp AS (
          CASE WHEN o_orderstatus = 'P' THEN o_orderpriority
               ELSE r_name || '-' || o_orderpriority END AS city_code,
          l_suppkey AS strategy_id,
-         o_orderpriority AS channel_name,
+         ch.channel_label AS channel_name,
          CASE WHEN l_linenumber % 3 = 0 THEN NULL
               ELSE CAST(l_linenumber % 3 AS DOUBLE) END AS goal_type,
          l_tax AS total_spend_cpm,
@@ -31,6 +33,8 @@ camp AS (
   LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 13) n ON c_nationkey = n.n_nationkey
   LEFT JOIN region ON n.n_regionkey = r_regionkey
   LEFT JOIN (SELECT * FROM part WHERE p_partkey % 10 <> 0) p ON l_partkey = p.p_partkey
+  LEFT JOIN (SELECT DISTINCT CAST(o_orderpriority[1] AS INTEGER) AS channel_id, o_orderpriority AS channel_label
+             FROM orders) ch ON CAST(o_orderpriority[1] AS INTEGER) = ch.channel_id
 )"""
 
 CLEANSED = CAMP + """,
@@ -139,9 +143,6 @@ with_last AS (
   SELECT c.*, l.last_date FROM cleansed c LEFT JOIN last l ON c.strategy_id = l.strategy_id
 )"""
 
-CATEGORICAL = ["business_vertical", "country", "region", "city_code", "strategy_id", "channel_name",
-               "goal_type", "year_captured", "yyyymm_captured", "conversions"]
-
 
 def _top_values(where: str = "") -> str:
     parts = "\n  UNION ALL ".join(
@@ -221,6 +222,23 @@ SELECT *,
   state_conversions / NULLIF(state_clicks, 0) AS state_conversions_clicks
 FROM agg"""
 
+_ITEM_RESULT = f"""WITH {RATINGS},
+pop AS (
+  SELECT movie_id, COUNT(*) AS popularity FROM (SELECT DISTINCT user_id, movie_id FROM ratings) d
+  GROUP BY movie_id
+)
+SELECT movie_id, title, pop.popularity, ROW_NUMBER() OVER (ORDER BY pop.popularity, movie_id) AS position
+FROM items JOIN pop USING (movie_id)"""
+
+
+def _inferred_profile() -> str:
+    types = {"captured_date": "date", "country": "string", "region": "string", "strategy_id": "int",
+             "impressions": "double", "clicks": "double", "remark": "string"}
+    parts = [f"SELECT '{c}' AS column_name, '{t}' AS inferred_type, COUNT({c}) FILTER (l_linenumber <> 7) AS n_values, "
+             "COUNT(*) FILTER (l_linenumber = 7) AS n_bad_rows FROM raw" for c, t in types.items()]
+    return f"WITH {CAMP}, raw AS (SELECT *, 'x' AS remark FROM camp)\n" + "\nUNION ALL ".join(parts)
+
+
 ORACLE: dict[str, str] = {
     "campaign_joined": f"WITH {CAMP} SELECT * FROM camp",
     "campaign_cleansed": f"WITH {CLEANSED} SELECT * FROM cleansed",
@@ -422,4 +440,23 @@ UNION ALL SELECT 'campaign', COUNT(*), 12 FROM camp""",
     "csv_round_trip": f"WITH {CAMP} SELECT * FROM camp",
     "parquet_stage_round_trip": f"WITH {CLEANSED} SELECT * FROM cleansed",
     "ratings_csv_typed": f"WITH {RATINGS} SELECT * FROM ratings",
+    "item_result_csv": _ITEM_RESULT,
+    "item_result_first_rows": _ITEM_RESULT + " QUALIFY position <= 10",
+    "csv_inferred_profile": _inferred_profile(),
+    "bulk_load_round_trip": f"WITH {CAMP} SELECT * FROM camp",
+    "bound_strategy_totals": f"""WITH {CLEANSED}
+SELECT channel_name, country, COUNT(*) AS n_rows, COALESCE(SUM(impressions), 0.0) AS impressions
+FROM cleansed WHERE strategy_id = 3 AND captured_date <= DATE '1995-06-17' AND channel_name <> '5-LOW'
+GROUP BY channel_name, country""",
+    "channel_fan_out": f"""WITH {CAMP},
+channel AS (SELECT DISTINCT CAST(o_orderpriority[1] AS INTEGER) AS id, o_orderpriority AS label FROM orders),
+twice AS (SELECT id, label FROM channel UNION ALL SELECT id, 'group ' || CAST(id % 2 AS VARCHAR) FROM channel)
+SELECT t.label, COUNT(*) AS n_rows, COALESCE(SUM(impressions), 0.0) AS impressions
+FROM camp LEFT JOIN twice t ON CAST(channel_name[1] AS INTEGER) = t.id GROUP BY t.label""",
+    "repeated_channel_city_days": f"""WITH {CLEANSED}
+SELECT strategy_id, channel_name, city_code, captured_date, COUNT(*) AS n_counts FROM cleansed
+WHERE strategy_id IS NOT NULL AND channel_name IS NOT NULL AND city_code IS NOT NULL AND captured_date IS NOT NULL
+GROUP BY ALL HAVING COUNT(*) >= 2""",
+    "impression_gaps_by_market_date": _gaps(["country", "region", "captured_date"], "impressions"),
+    "click_gaps_by_market_date": _gaps(["country", "region", "captured_date"], "clicks"),
 }

@@ -17,23 +17,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campaign_spark import operators as ops
-from campaign_spark.fixed import TOP_K
+from campaign_spark.fixed import CATEGORICAL, NUMERIC, TOP_K
 from campaign_spark.plans import fixtures
 from campaign_spark.plans.campaign import engineer, strategy_running_totals
 from campaign_spark.schemas import BREAKDOWN_KEYS, JOINED, MEASURES
 from campaign_spark.session import scratch_path
-from campaign_spark.sources.files import read_csv, typed_ratings
+from campaign_spark.sources.files import inferred_profile, load_csv_table, read_csv, read_csv_inferred, typed_ratings
+from campaign_spark.sources.ordered import first_rows, read_in_order, write_sorted_csv
 from campaign_spark.sources.shapes import table_shapes
 from campaign_spark.sources.sinks import write_csv
+from campaign_spark.sources.sql import register, run_sql
 from campaign_spark.sources.stages import input_key, materialize, stage_path
 
 # Fixed query parameters (shared with the oracle SQL).
 STRATEGY_ID = 3
 CUTOFF_DATE = dt.date(1995, 6, 17)
 SPARSE_MAX_DATES = 500
-CATEGORICAL = ["business_vertical", "country", "region", "city_code", "strategy_id", "channel_name",
-               "goal_type", "year_captured", "yyyymm_captured", "conversions"]
-NUMERIC = ["total_spend_cpm", "impressions", "clicks"]
 MARKET_CHANNEL = ["country", "region", "channel_name"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,13 +40,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Bump when the binding or the cleansing rules change: stage folders are
 # keyed by it, so a stage written by older code is never read back.
-STAGE_VERSION = "v2"
+STAGE_VERSION = "v3"
 # The test tables give spend with two decimals: exact sums make results independent of row order.
 SPEND_EXACT = {"total_spend_cpm": 4}
 _STAGES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
-def campaign_stage(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def campaign_stage(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame],
+                   cluster_by: list[str] | None = None) -> DataFrame:
     """The named campaign stage for ``sf``, materialized once as Parquet in the
     shared checkpoint folder (the source pipeline's stage cache): the fact
     join and the median imputation run once per dataset, not once per query,
@@ -58,7 +58,7 @@ def campaign_stage(spark: SparkSession, sf: str, name: str, build: Callable[[],
     hit = _STAGES.get((id(spark), path))
     if hit is not None and hit[0] is spark:
         return hit[1]
-    df = materialize(spark, build, path)
+    df = materialize(spark, build, path, cluster_by=cluster_by)
     _STAGES[(id(spark), path)] = (spark, df)
     return df
 
@@ -68,7 +68,9 @@ def joined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cleansed(spark: SparkSession, sf: str) -> DataFrame:
-    return campaign_stage(spark, sf, "cleansed", lambda: ops.cleanse(joined(spark, sf)))
+    """The cleansed stage, clustered by strategy: queries of one strategy skip the row groups of the others."""
+    return campaign_stage(spark, sf, "cleansed", lambda: ops.cleanse(joined(spark, sf)),
+                          cluster_by=["strategy_id", "captured_date", *fixtures.TIEBREAK])
 
 
 def engineered(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,6 +310,79 @@ def parquet_stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(spark, lambda: cleansed(spark, sf), path)
 
 
+ITEM_RESULT_SCHEMA = T.StructType([
+    T.StructField("movie_id", T.LongType()), T.StructField("title", T.StringType()),
+    T.StructField("popularity", T.LongType())])
+ITEM_ROWS_PER_FILE = 300
+
+
+def _sorted_items(spark: SparkSession, sf: str) -> str:
+    """Item popularity as a sorted result: ascending, ties by id, in as many files as its rows need."""
+    path = scratch_path(spark, "sorted_items", uuid.uuid4().hex)
+    write_sorted_csv(_items("count")(spark, sf).select(*ITEM_RESULT_SCHEMA.fieldNames()), path,
+                     ["popularity", "movie_id"], rows_per_file=ITEM_ROWS_PER_FILE)
+    return path
+
+
+def item_result_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The sorted result read back with each row's position in its files."""
+    return read_in_order(spark, _sorted_items(spark, sf), ITEM_RESULT_SCHEMA)
+
+
+def item_result_first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of the sorted result, read back from its first files."""
+    return first_rows(spark, _sorted_items(spark, sf), ITEM_RESULT_SCHEMA, TOP_K, "position")
+
+
+RAW_COLUMNS = ["captured_date", "country", "region", "strategy_id", "impressions", "clicks"]
+RAW_BAD_LINE = 7
+
+
+def csv_inferred_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The campaign table as a raw CSV in which some lines have a comma too many, profiled by an inferred scan."""
+    path = scratch_path(spark, "csv_inferred", uuid.uuid4().hex)
+    remark = F.when(F.col("l_linenumber") == RAW_BAD_LINE, F.lit("late, unchecked")).otherwise(F.lit("checked"))
+    raw = joined(spark, sf).select(*RAW_COLUMNS, remark.alias("remark"))
+    raw.write.option("header", "true").option("quote", "").csv(path)  # no quotes: the comma splits the line
+    return inferred_profile(read_csv_inferred(spark, path))
+
+
+def bulk_load_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The joined table as CSV, bulk-loaded into a typed catalog table of this run's own name and read by it."""
+    run = uuid.uuid4().hex
+    path = scratch_path(spark, "bulk_load", run)
+    write_csv(joined(spark, sf), f"{path}/csv")
+    return load_csv_table(spark, f"{path}/csv", CAMPAIGN_CSV_SCHEMA, f"campaign_{run}", f"{path}/table")
+
+
+def bound_strategy_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL over a session view with values bound by name."""
+    register({"campaign_cleansed": cleansed(spark, sf)})
+    return run_sql(spark, """
+        SELECT channel_name, country, COUNT(*) AS n_rows, COALESCE(SUM(impressions), 0.0D) AS impressions
+        FROM campaign_cleansed
+        WHERE strategy_id = :strategy AND captured_date <= :until AND channel_name <> :channel
+        GROUP BY channel_name, country
+    """, {"strategy": STRATEGY_ID, "until": CUTOFF_DATE, "channel": BOUND_CHANNEL})
+
+
+BOUND_CHANNEL = "5-LOW"
+
+
+def channel_fan_out(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per label when the channel dimension lists its ids twice (label and group): each fact row counts for both."""
+    channel = fixtures.channels(spark, sf)
+    grouped = channel.select("channel_id", F.concat(F.lit("group "), (F.col("channel_id") % 2).cast("string")).alias("channel_label"))
+    fact = joined(spark, sf).select(fixtures.channel_id("channel_name").alias("channel_key"), "impressions")
+    wide = ops.star_join(fact, [ops.Dimension(channel.union(grouped), "channel_key", "channel_id", {"channel_label": "label"})])
+    return wide.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("impressions"), F.lit(0.0)).alias("impressions"))
+
+
+def repeated_channel_city_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicate check inside each strategy and channel: (city, date) pairs that come more than once."""
+    return ops.repeated_pairs(cleansed(spark, sf), ["strategy_id", "channel_name", "city_code", "captured_date"], min_count=2)
+
+
 QUERIES: dict[str, Query] = {
     "campaign_joined": joined,
     "campaign_cleansed": cleansed,
@@ -369,4 +444,13 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "parquet_stage_round_trip": parquet_stage_round_trip,
     "ratings_csv_typed": ratings_csv_typed,
+    "item_result_csv": item_result_csv,
+    "item_result_first_rows": item_result_first_rows,
+    "csv_inferred_profile": csv_inferred_profile,
+    "bulk_load_round_trip": bulk_load_round_trip,
+    "bound_strategy_totals": bound_strategy_totals,
+    "channel_fan_out": channel_fan_out,
+    "repeated_channel_city_days": repeated_channel_city_days,
+    "impression_gaps_by_market_date": _gaps(["country", "region", "captured_date"], "impressions"),
+    "click_gaps_by_market_date": _gaps(["country", "region", "captured_date"], "clicks"),
 }

@@ -1,7 +1,7 @@
 """Sources and sinks: CSV, Parquet, materialized stages, JDBC, SQL views."""
 
 from campaign_spark.sources.files import (
-    load_csv_table, read_campaign_csvs, read_csv, read_csv_inferred, read_parquet,
+    inferred_profile, load_csv_table, read_campaign_csvs, read_csv, read_csv_inferred, read_parquet,
     typed_ratings,
 )
 from campaign_spark.sources.jdbc import RangePartition, column_types_option, read_jdbc, write_jdbc

@@ -22,10 +22,33 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return reader.csv(path)
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_inferred(spark: SparkSession, path: str, corrupt: str = CORRUPT) -> DataFrame:
     """CSV with a header and inferred column types (an extra pass over the
-    file; meant for profiling unknown inputs, not for production loads)."""
-    return spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+    file; meant for profiling unknown inputs, not for production loads).
+
+    A line that does not fit the inferred columns is kept whole in ``corrupt``
+    (null elsewhere), so bad rows can be counted and looked at, not lost.
+    """
+    options = {"header": "true", "mode": "PERMISSIVE"}
+    inferred = spark.read.options(**options, inferSchema="true").csv(path).schema
+    # Whole lines are checked, whichever columns a query reads.
+    return (spark.read.options(**options, columnNameOfCorruptRecord=corrupt, columnPruning="false")
+            .schema(T.StructType([*inferred.fields, T.StructField(corrupt, T.StringType())])).csv(path))
+
+
+def inferred_profile(df: DataFrame, corrupt: str = CORRUPT) -> DataFrame:
+    """One row per column of an inferred scan: ``column_name``, ``inferred_type``, ``n_values`` (not null, in
+    rows that fit) and ``n_bad_rows`` (of the whole file); one aggregate over the file."""
+    fits = F.col(corrupt).isNull()
+    fields = [f for f in df.schema.fields if f.name != corrupt]
+    counts = df.agg(*[F.count_if(fits & F.col(f"`{f.name}`").isNotNull()).alias(f"_{i}") for i, f in enumerate(fields)],
+                    F.count_if(~fits).alias("_bad"))
+    lines = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("inferred_type"),
+                               F.col(f"_{i}").alias("n_values"), F.col("_bad").alias("n_bad_rows")) for i, f in enumerate(fields)])
+    return counts.select(F.explode(lines).alias("_l")).select("_l.*")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -45,10 +68,17 @@ def read_campaign_csvs(spark: SparkSession, folder: str) -> dict[str, DataFrame]
     }
 
 
-def load_csv_table(spark: SparkSession, path: str, schema: T.StructType, table: str) -> DataFrame:
-    """Typed bulk load: read CSV (FAILFAST) and replace table ``table``."""
+def load_csv_table(spark: SparkSession, path: str, schema: T.StructType, table: str,
+                   location: str | None = None) -> DataFrame:
+    """Typed bulk load: drop table ``table`` if it is there, create it from the CSV and read it by name.
+
+    FAILFAST: a malformed row fails the load, and the table is not created. With
+    ``location`` the table's files stand there and outlive a drop.
+    """
     df = read_csv(spark, path, schema, mode="FAILFAST")
-    df.write.mode("overwrite").saveAsTable(table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    writer = df.write.format("parquet").mode("errorifexists")
+    (writer.option("path", location) if location else writer).saveAsTable(table)
     return spark.table(table)
 
 

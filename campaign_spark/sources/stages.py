@@ -46,8 +46,8 @@ def stage_exists(spark: SparkSession, path: str) -> bool:
 
 
 def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str,
-                refresh: bool = False) -> DataFrame:
-    """Read the stage at ``path`` if committed, else build, write, re-read."""
+                refresh: bool = False, cluster_by: list[str] | None = None) -> DataFrame:
+    """Read the stage at ``path`` if committed, else build, write (clustered by ``cluster_by``), re-read."""
     if refresh:
         fs, p = hadoop_fs(spark, path.rstrip("/"))
         if fs.exists(p):
@@ -55,7 +55,7 @@ def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str,
     done = _committed(spark, path)
     if done is None:
         done = f"{path.rstrip('/')}/attempt-{uuid.uuid4().hex}"
-        write_parquet(build(), done)
+        write_parquet(build(), done, cluster_by=cluster_by)
     return spark.read.parquet(done)
 
 
