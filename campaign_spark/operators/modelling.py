@@ -8,11 +8,11 @@ everything strictly before the prediction date (spend and the efficiency
 ratios of sums), and the *labels* sum the measures in the 7 days after it
 (``p < date <= p + 7``). Test labels lie beyond the data, so they are NULL.
 
-Plan: the rows are summed once per (strategy, date, country, region, channel)
-with map-side combine and written; that day table, not the rows, is joined to
-each strategy's last date (its own maximum) and summed once more with one set of
-conditional sums per split. The splits become rows of the result at the very
-end, so no input row is repeated, and the input is scanned once.
+Plan: one join of the rows to their strategy's last date (a maximum over two
+columns of a pruned scan; AQE broadcasts it when small), then ONE grouped
+aggregation with a set of conditional sums per split, combined in each task
+before the shuffle. The splits become rows of the result at the very end, so no
+input row is repeated. No interval join and no per-group task.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from campaign_spark.functions.nulls import drop_null_keys, present
 
 from campaign_spark.functions.ratios import RATIOS, from_units, safe_ratio, to_units
 from campaign_spark.operators.joins import attach_group_value
-from campaign_spark.operators.ordering import written
 
 from campaign_spark.fixed import LABEL_DAYS, SPLITS
 
@@ -49,22 +48,21 @@ def model_dataset(df: DataFrame, key: str = "strategy_id", date_col: str = "capt
     by = ["country", "region", "channel_name"] if by is None else by
     measures = ["impressions", "clicks", "conversions"] if measures is None else measures
     splits = SPLITS if splits is None else splits
-    spent = F.sum(present(spend)) if spend_scale is None else F.sum(to_units(spend, spend_scale))
-    daily = written(drop_null_keys(df, [key]).groupBy(key, date_col, *by).agg(
-        spent.alias("_spent"), F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(f"_m_{m}") for m in measures]), "model-days")
-    # The last date is the strategy's over ALL its rows; then days without a
+    one = present(spend) if spend_scale is None else to_units(spend, spend_scale)
+    rows = drop_null_keys(df, [key]).select(key, date_col, *by, one.alias("_spent"), *[F.col(m).alias(f"_m_{m}") for m in measures])
+    # The last date is the strategy's over ALL its rows; then rows without a
     # complete (country, region, channel) key are left out of the groups.
-    days = drop_null_keys(attach_group_value(daily, [key], F.max(date_col), "_last"), by)
+    rows = drop_null_keys(attach_group_value(rows, [key], F.max(date_col), "_last"), by)
     d, last = F.col(date_col), F.col("_last")
     sums = []
     for k, (_, offset) in enumerate(splits):
         p = F.date_sub(last, offset)
         past, future = d < p, (d > p) & (d <= F.date_add(p, label_days))
         sums.append(F.sum(F.when(past, F.col("_spent"))).alias(f"_spent{k}"))
-        sums.append(F.coalesce(F.sum(F.when(past, F.col("_n"))), F.lit(0)).alias(f"_rows{k}"))
+        sums.append(F.count_if(past).alias(f"_rows{k}"))
         sums += [F.sum(F.when(past, F.col(f"_m_{m}"))).alias(f"_state{k}_{m}") for m in measures]
         sums += [F.sum(F.when(future, F.col(f"_m_{m}"))).alias(f"_label{k}_{m}") for m in measures]
-    groups = days.groupBy(key, *by).agg(F.max(last).alias("_last"), *sums)
+    groups = rows.groupBy(key, *by).agg(F.max(last).alias("_last"), *sums)
     points = []
     for k, (split, offset) in enumerate(splits):
         p = F.date_sub("_last", offset)
