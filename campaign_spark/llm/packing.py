@@ -15,7 +15,6 @@ stays null; repeated rows are separate documents; other columns are not read.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -27,6 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import byte_texts, cut, table
+from .word_codes import Words, unreachable
 
 CAPACITY = 4096
 END = 1
@@ -43,26 +43,22 @@ def public_tokenizer() -> str:
 
 
 def _pieces(path: str, capacity: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    left_out = unreachable(path)
 
-        tokenizer = Tokenizer.from_file(path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Words(path, left_out)
         known: dict[bytes, bytes] = {}
         end = np.uint32(END).astype("<u4").tobytes()
         for b in batches:
             ids_of = b.column(0).to_pylist()
             for at in range(0, len(ids_of), 256):
-                # The tokenizer drops white space and never joins across it, so words are encoded once.
+                # The tokenizer drops white space and never joins across it, so words are coded once.
                 split = [x.as_buffer().to_pybytes().split() for x in b.column(1)[at:at + 256]]
                 new = list(set().union(*split).difference(known))
                 if len(known) + len(new) > _WORDS:
                     known.clear()
                     new = list(set().union(*split))
-                for k in range(0, len(new), 20_000):
-                    part = new[k:k + 20_000]
-                    coded = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-                    known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(part, coded))
+                known.update(coder.codes(new))
                 cols = [[], [], [], [], []]
                 for doc, words in zip(ids_of[at:at + 256], split):
                     data = b"".join(map(known.__getitem__, words)) + end
