@@ -6,8 +6,8 @@ SHA-256 digest is joined with the digests of known licences, put into the same
 form. The whole text, each of its lines and, for known texts of several lines,
 every place where their first words stand are looked up: a licence is found as a
 document and inside a longer one, however its lines are wrapped. Known texts are a
-parameter; the table stays small (a few rows per licence), and Spark decides how
-to join it. Lines that only title a licence ('MIT License') are left out like
+parameter; up to ``BROADCAST_ROWS`` digests are broadcast, so that the lines of the
+documents are not shuffled. Lines that only title a licence ('MIT License') are left out like
 copyright lines.
 
 Defined cases: a null text is empty; an empty canonical form has no licence;
@@ -17,6 +17,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from pathlib import Path
 
@@ -79,6 +80,8 @@ _TITLE = r"^(the )?((mit|isc|expat|unlicense) license( mit| isc)?|(new |simplifi
 # This sentence goes with the copyright line before it; elsewhere it is text.
 _RESERVED = r"(?m)(^\s*(?i:copyright|\(c\)|©)[^\n]*)\n[ \t]*(?i:all rights reserved)\.?[ \t\r]*$"
 ANCHOR = 60  # characters by which a known text is looked for inside a document
+BROADCAST_ROWS = 100_000  # digests of known texts that are sent to every task; more are joined by a shuffle
+SIGN = 7  # letters that a word needs to tell licences from prose
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 _ANY_SPELLING = r"\b(" + "|".join(SPELLINGS) + r")\b"
 
@@ -102,6 +105,19 @@ def _digest(lines: Column) -> Column:
     return F.sha2(F.array_join(lines, " "), 256)
 
 
+def _signs(starts: set[str]) -> list[str]:
+    """Words, as few as a greedy choice needs, of which every start holds one whole; long ones, so that prose has few."""
+    left = {s: {w for w in f"{s}|".split(" ")[1:-1] if w} for s in starts}
+    left = {s: {w for w in ws if len(w) >= SIGN} or {max(ws, key=len)} for s, ws in left.items() if ws}
+    out = []
+    while left:
+        words = sorted({w for ws in left.values() for w in ws})
+        best = max(words, key=lambda w: sum(w in ws for ws in left.values()))
+        out.append(best)
+        left = {s: ws for s, ws in left.items() if best not in ws}
+    return out
+
+
 def _inside(forms: list[str], text: Column) -> Column:
     """Digests of the stretches of ``text`` (blank before and after) that start as a known text does and are as long."""
     starts = set()
@@ -114,8 +130,15 @@ def _inside(forms: list[str], text: Column) -> Column:
         return F.array().cast("array<string>")
     known = F.array(*(F.struct(F.lit(a).alias("start"), F.lit(n).alias("n")) for a, n in sorted(starts)))
     met = F.filter(known, lambda k: (F.length(text) > k["n"]) & F.contains(text, k["start"]))
-    return F.flatten(F.transform(met, lambda k: F.transform(
+    stretches = F.flatten(F.transform(met, lambda k: F.transform(
         F.split(text, F.concat(F.lit("(?="), k["start"], F.lit(")"))), lambda x: F.sha2(F.left(F.concat(x, F.lit(" ")), k["n"]), 256))))
+    # A text without any of these words holds no start: the starts themselves are looked for in few texts.
+    signs = _signs({a for a, _ in starts})
+    whole = all(any(f" {w} " in a for w in signs) for a, _ in starts)
+    if not whole:
+        return stretches
+    sign = functools.reduce(lambda a, b: a | b, [F.contains(text, F.lit(f" {w} ")) for w in signs])
+    return F.when(sign, stretches).otherwise(F.array().cast("array<string>"))
 
 
 def licence_scan(docs: DataFrame, known: dict[str, str] | None = None) -> DataFrame:
@@ -135,9 +158,13 @@ def licence_scan(docs: DataFrame, known: dict[str, str] | None = None) -> DataFr
     whole = forms.select("doc_id", F.when(F.size("lines") > 0, _digest(F.col("lines"))).alias("text_digest"), "lines")
     text = F.concat(F.lit(" "), F.array_join("lines", " "), F.lit(" "))
     found = whole.select("doc_id", "text_digest", "lines", text.alias("text"))
-    lines = found.select("doc_id", "text_digest", F.explode(F.concat(
+    parts = parts.distinct()
+    if len(texts) + len(long) <= BROADCAST_ROWS:  # counted here: the known texts come from the driver
+        table_, parts = F.broadcast(table_), F.broadcast(parts)
+    # Never null: a filter on nulls would be pushed below the lines, which would be made a second time for it.
+    lines = found.select("doc_id", F.coalesce("text_digest", F.lit("")).alias("text_digest"), F.explode(F.concat(
         F.transform(F.array_distinct("lines"), lambda x: F.sha2(x, 256)), _inside([f for _, f in long], F.col("text")))).alias("digest"))
-    notices = (lines.join(parts.distinct(), "digest").groupBy("doc_id", "text_digest")
+    notices = (lines.join(parts, "digest").groupBy("doc_id", "text_digest")
                .agg(F.array_join(F.sort_array(F.collect_set("license_id")), ",").alias("notice_ids"))  # known ones only
                .withColumnsRenamed({"doc_id": "d", "text_digest": "t"}))
     out = whole.drop("lines").join(table_, F.col("text_digest") == F.col("digest"), "left")
