@@ -1,8 +1,8 @@
 """Near-duplicate groups: SuperMinHash signatures, banding, exact verification, union-find.
 
 A document's set holds the 64-bit hashes of its distinct five-word shingles.
-Documents with equal sets form one class; only class representatives are
-compared. The signature has 60 bands of 6 slots: a pair at similarity 0.75
+Rows with equal sets form one class, a node of the graph under a number of its
+own; only classes are compared. The signature has 60 bands of 6 slots: a pair at similarity 0.75
 shares no band with probability 8e-6, one at 0.8 with 1e-8, and a pair at 0.2
 shares one with 0.4 per cent. Candidate links go from a bucket's centre to its members, never all
 pairs; buckets that still hold several components take another centre, and
@@ -10,8 +10,10 @@ what that leaves is settled exactly by a prefix-filter join on rare items.
 
 Defined cases: a null text is empty; an empty text has an empty set and is its
 own component; fewer than five words are one element; every row gives a row,
-repeated ones the same; a null doc_id is kept, with a null component. Columns
-other than doc_id and text are never read.
+repeated ones the same; rows of one doc_id with different texts are one document
+with several sets: whatever one of them is linked with, all are (rows of it
+without words stay alone); a null doc_id is kept, with a null component and no
+part in any link. Columns other than doc_id and text are never read.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,9 +104,12 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
+def set_key(items: bytes) -> bytes | None:
+    """128-bit digest of a set's sorted hashes; none for the empty set."""
+    return xxhash.xxh3_128_digest(items) if items else None
+
 
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHash()
     # Short sets need many steps, long ones few: they are signed apart.
     held = {True: [], False: []}
@@ -116,7 +122,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, s in items:
             cols[0].append(doc)
             cols[1].append(len(s))
-            cols[2].append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+            cols[2].append(set_key(s.tobytes()))
             cols[3].append(next(keys) if len(s) else np.empty(0, np.int64))
         return pa.RecordBatch.from_arrays(
             [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
@@ -139,11 +145,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHash()
     for b in batches:
-        docs = b.column(0).to_pylist()
-        for at in range(0, len(docs), 500):
+        for at in range(0, b.num_rows, 500):
             sets = [shingles(x.as_buffer().to_pybytes(), hashes).tobytes() for x in b.column(1)[at:at + 500]]
-            yield pa.RecordBatch.from_arrays([pa.array(docs[at:at + 500], pa.int64()), pa.array(sets, pa.binary())],
-                                             names=["doc_id", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())],
+                                             names=["set_key", "items"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,23 +254,38 @@ def _leaders_pairs(rows: DataFrame) -> DataFrame:
             .select("a", F.col("doc").alias("b")).distinct())
 
 
+def _one_id(named: DataFrame, comps: DataFrame) -> DataFrame:
+    """comps (set_key, low, comp) with the components joined in which one doc_id has different sets."""
+    several = (named.groupBy("doc_id").agg(F.min("set_key").alias("first"), F.max("set_key").alias("last"))
+               .filter("first < last").select("doc_id", "first"))
+    links = cut(named.join(several, "doc_id").filter("set_key <> first").select("set_key", "first").distinct(), "near-ids")
+    if links.isEmpty():
+        return comps
+    edges = (links.join(comps.select("set_key", F.col("comp").alias("a")), "set_key")
+             .join(comps.select(F.col("set_key").alias("first"), F.col("comp").alias("b")), "first").select("a", "b"))
+    roots = components(edges, "near-cc").select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    return cut(comps.join(roots, "comp", "left").select("set_key", "low", F.coalesce("root", "comp").alias("comp")), "near-comps")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
     texts = byte_texts(docs)
     signed = cut(texts.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, bands array<long>"), "near-signed")
-    # Documents with equal sets are one class, however many there are (map-side min).
-    classes = cut(signed.filter("set_key is not null and doc_id is not null").groupBy("set_key")
-                  .agg(F.min("doc_id").alias("rep")), "near-classes")
-    keyed = (signed.select("doc_id", "n_shingles", "set_key", "bands")
-             .join(classes, "set_key").filter("doc_id = rep")
-             .select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "bands"))
+    # Rows with equal sets are one class, however many there are (map-side min). Its number is fixed by the written file.
+    named = signed.filter("set_key is not null and doc_id is not null")
+    classes = cut(named.groupBy("set_key").agg(F.min("doc_id").alias("low"))
+                  .withColumn("doc", F.monotonically_increasing_id()), "near-classes")
+    keyed = (named.join(classes, "set_key").filter("doc_id = low").dropDuplicates(["set_key"])
+             .select("doc", F.col("n_shingles").alias("n"), "bands"))
     slots = cut(keyed.select("doc", "n", F.explode("bands").alias("bucket")), "near-buckets")
     centre = (slots.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("c"), F.max("doc").alias("hi"))
               .filter("c.doc < hi").select("bucket", F.col("c.doc").alias("centre"), F.col("c.n").alias("cn")))
     met = cut(slots.join(centre, "bucket"), "near-met")
     members = cut(met.select("doc", "n", F.col("doc").alias("comp")).distinct(), "near-members")
-    sets = cut(texts.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
-               .mapInArrow(_sets, "doc_id long, items binary").dropDuplicates(["doc_id"]), "near-sets")
+    compared = classes.join(members.select("doc"), "doc")
+    sets = cut(texts.join(compared.select(F.col("low").alias("doc_id")), "doc_id", "left_semi")
+               .mapInArrow(_sets, "set_key binary, items binary").dropDuplicates(["set_key"])
+               .join(compared, "set_key").select(F.col("doc").alias("doc_id"), "items"), "near-sets")
     # First each document against the centre that it meets in most bands.
     best = (met.filter("doc <> centre").filter(_similar_size("n", "cn"))
             .groupBy("doc", "centre").agg(F.count("*").alias("bands"))
@@ -281,10 +301,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
         edges = cut(_verify(_leaders_pairs(exact.join(mixed.select("bucket"), "bucket")), sets), "near-edges")
         if not edges.isEmpty():
             members = _merge(members, edges)
-    comp = classes.join(members.select(F.col("doc").alias("rep"), "comp"), "rep", "left").select(
-        "set_key", F.coalesce("comp", "rep").alias("comp"))
+    comps = classes.join(members.select("doc", "comp"), "doc", "left").select("set_key", "low", F.coalesce("comp", "doc").alias("comp"))
+    comps = _one_id(named, cut(comps, "near-comps"))
+    lowest = comps.groupBy("comp").agg(F.min("low").alias("lowest"))
+    comp = comps.join(lowest, "comp").select("set_key", "lowest")
     return (signed.select("doc_id", "n_shingles", "set_key").join(comp, "set_key", "left")
-            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")))
+            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id")))
             .select("doc_id", "n_shingles", "component_id",
                     F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept")))
 

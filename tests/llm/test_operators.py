@@ -53,6 +53,20 @@ def test_near_groups(docs):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), comp[r.doc_id], comp[r.doc_id] == r.doc_id)
 
 
+def test_near_groups_of_one_id_with_two_texts(spark):
+    rng = np.random.default_rng(8)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (9, c), (9, c), (7, b), (4, a), (9, None), (5, c + " end"), (6, "")]
+    got = near_dup.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got if r.n_shingles} == {(1, 1), (2, 1), (3, 1), (7, 1), (4, 1), (9, 5), (5, 5)}
+    assert {(r.doc_id, r.component_id, r.kept) for r in got if not r.n_shingles} == {(9, 9, True), (6, 6, True)}
+    # Ids are documents: 2 and 3 have nothing in common but the id 5.
+    rows = [(5, a), (5, b), (2, a + " end"), (3, b + " end")]
+    got = near_dup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(2, 2, True), (3, 2, False), (5, 2, False)}
+
+
 @pytest.mark.parametrize("hot", [256, 2])
 def test_suffix_dedup(docs, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT_SPANS", hot)
