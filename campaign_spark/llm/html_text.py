@@ -12,73 +12,117 @@ White space inside a block becomes one space; blocks are joined by a line feed
 in page order. Defined cases: a null or empty page, and one without content,
 has the text ''; broken or unclosed markup is read as far as it goes; a null
 page_id or url stays null; repeated rows give repeated rows; other columns are
-not read. A page is handled by one task, in time linear in its length but for
-the cut.
+not read. A page is handled by one task, in time linear in its length (unclosed
+tags and quotes included) but for the cut.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe|object|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# Opening and closing tags, elements without text, comments, text. A tag's end is looked for outside its quoted
+# values; where that runs to the end of the page (``open``), quotes mean nothing from there on.
+_PARTS = (r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|object|select)\b{inside}>"
+          r".*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attributes>{inside})>"
+          r"|(?P<open><[/a-zA-Z]{inside}\Z)|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)")
+_QUOTED = re.compile(_PARTS.replace("{inside}", r"(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+"), re.S | re.I)
+_PLAIN = re.compile(_PARTS.replace("{inside}", "[^>]*+"), re.S | re.I)
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|style|aria-hidden|data-ad(?:s|-[\w-]+)?)(?![\w-])"
+                        r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 # Element and class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
-OUTSIDE = frozenset("nav footer aside form button menu dialog fieldset head".split())
+OUTSIDE = frozenset("nav footer aside button menu dialog fieldset head".split())
 MAIN = frozenset("article main".split())
-AWAY = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
-                 "gdpr notice alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget "
-                 "footer masthead comment comments reply replies respond disqus share sharing social related recommended "
-                 "recommendations newsletter subscribe subscription signup login search pagination pager toolbar skip "
-                 "copyright legal tags complementary contentinfo form".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Names of what an article never stands in, and of boxes that are sometimes drawn around one.
+FIRM = frozenset("nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer comment comments reply replies respond "
+                 "disqus related recommended recommendations pagination pager complementary contentinfo tags".split())
+LOOSE = frozenset("ad ads advert adverts advertisement advertising adsbygoogle adslot adunit adbox sponsor sponsored promo promoted "
+                  "promotion banner cookie cookies consent gdpr notice alert popup modal overlay widget masthead share sharing "
+                  "social newsletter subscribe subscription signup login search toolbar skip copyright legal".split())
+REMARKS = frozenset("comment comments reply replies respond disqus".split())
 TOWARDS = frozenset("article content main post entry story text body prose".split())
+LAYOUT = frozenset("has with no non without layout open closed enabled free".split())  # such a class says how a page is laid out
 _SPLITS = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dd": {"dd", "dt"},
            "dt": {"dd", "dt"}, "option": {"option"}}
 
-SURE, LIKELY = 40.0, 8.0  # unary costs: of names that leave no doubt, of the page's main element
+PAGE = frozenset("nav header footer main article aside h1".split())  # a form around one of these is around the page
+# Unary costs: of what is not shown, of a place outside the article, of a box around it, of a form to fill in.
+UNSEEN, OUT, BOX, FORM = 40.0, 8.0, 6.0, 6.0
+IN_MAIN, BESIDE_MAIN = 2.0, 1.5  # for blocks of the page's main element, against others if there is one
 ADJACENT, SIBLING = 1.5, 1.0  # smoothness of reading order and of one parent
 
 
+@lru_cache(maxsize=10_000)
+def names(value: str) -> frozenset[str]:
+    """Words of a class, id or role value, without the classes that only tell the page's layout."""
+    found: set[str] = set()
+    for one in value.split():
+        words = {x.lower() for x in _NAME.findall(one)}
+        if not words & LAYOUT:
+            found |= words
+    return frozenset(found)
+
+
 class _Element:
-    __slots__ = ("away", "depth", "main", "parent", "tag", "towards")
+    """An open element: ``firm`` and ``loose`` are the costs of the places it stands in; main and article
+    end a loose one (an advert left open, say), main ends a firm one too."""
+
+    __slots__ = ("depth", "firm", "form", "loose", "main", "page", "parent", "tag", "towards")
 
     def __init__(self, tag: str, parent: "_Element | None", attributes: str):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.main = bool(parent and parent.main)
-        self.away = bool(parent and parent.away)
+        self.firm = parent.firm if parent else 0.0
+        self.loose = parent.loose if parent else 0.0
         self.towards = parent.towards if parent else 0
-        names: set[str] = set()
+        self.form = self if tag == "form" else parent.form if parent else None
+        self.page = False  # of a form: it is around the page
+        if self.form and tag in PAGE:
+            self.form.page = True
+        called: set[str] = set()
+        role, unseen, advert = "", False, False
         for m in _ATTRIBUTE.finditer(attributes) if attributes.strip() else ():
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            if key == "hidden" or key == "aria-hidden" and value.lower() == "true" \
-                    or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                self.away = True
+            if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
+                unseen = True
+            elif key.startswith("data-ad"):
+                advert = True
             elif key in ("class", "id", "role"):
-                names.update(x.lower() for x in _NAME.findall(value))
-        if tag in OUTSIDE or tag == "header" and not self.main:
-            self.away = True
-        if tag not in ("body", "html", "article", "main") and names & AWAY:
-            self.away = True
-        if "banner" in names and tag != "header" or "header" in names and not self.main and tag in ("div", "section", "header"):
-            self.away = True
-        if tag in MAIN or names & {"main", "article"} and tag in ("div", "section") and not names & AWAY:
-            self.main = True
-        self.towards += bool(names & TOWARDS)
+                called |= names(value)
+                role = value.strip().lower() if key == "role" else role
+        if tag in MAIN or role in MAIN:
+            self.loose = 0.0
+            if tag == "main" or role == "main":
+                self.firm = self.firm if self.firm >= UNSEEN else 0.0
+            if called & REMARKS:
+                self.firm = max(self.firm, OUT)
+            self.main = not self.firm
+        elif tag not in ("body", "html"):
+            if tag in OUTSIDE or called & FIRM:
+                self.firm = max(self.firm, OUT)
+            if advert or called & LOOSE or not self.main and (tag == "header" or "header" in called and tag in ("div", "section")):
+                self.loose = max(self.loose, BOX)
+            if called & MAIN and tag in ("div", "section") and not called & (FIRM | LOOSE) and not self.firm:
+                self.main = True
+        if unseen:
+            self.firm = UNSEEN
+        self.towards += bool(called & TOWARDS)
 
 
 class _Block:
@@ -94,6 +138,12 @@ def blocks(page: str) -> list[tuple[str, _Element, float]]:
     at = _Element("html", None, "")
     current: _Block | None = None
     links = 0
+    opened: Counter[str] = Counter()  # tags of the elements that are open
+
+    def leave() -> None:
+        nonlocal at
+        opened[at.tag] -= 1
+        at = at.parent
 
     def close() -> None:
         nonlocal current
@@ -103,8 +153,14 @@ def blocks(page: str) -> list[tuple[str, _Element, float]]:
                 out.append((text, current.element, min(1.0, current.linked / len(text))))
         current = None
 
-    for m in _TOKEN.finditer(page):
-        raw, end, tag, attributes, text = m.groups()
+    token, place = _QUOTED, 0
+    while place < len(page):
+        m = token.match(page, place)
+        raw, end, tag, attributes, rest, text = m.groups()
+        if rest is not None and token is _QUOTED:
+            token = _PLAIN
+            continue
+        place = m.end()
         if text is not None:
             if current is None:
                 if text.isspace():
@@ -127,17 +183,17 @@ def blocks(page: str) -> list[tuple[str, _Element, float]]:
             if tag in VOID:
                 continue
             if end:
-                up = at
-                while up and up.tag != tag:
-                    up = up.parent
-                if up and up.parent:
-                    at = up.parent
+                if opened[tag]:
+                    while at.tag != tag:
+                        leave()
+                    leave()
                 links = 0
             else:
                 # Elements that a new block ends: an open paragraph, the same kind of row, cell or item.
                 while at.parent and (at.tag == "p" or at.tag in _SPLITS.get(tag, ()) or at.tag == "head" and tag == "body"):
-                    at = at.parent
+                    leave()
                 at = _Element(tag, at, attributes)
+                opened[tag] += 1
         elif raw:
             if current:
                 current.parts.append(" ")
@@ -145,17 +201,24 @@ def blocks(page: str) -> list[tuple[str, _Element, float]]:
     return out
 
 
-def costs(text: str, element: _Element, linked: float) -> float:
-    """Cost of calling a block boilerplate less that of calling it content."""
-    if element.away:
-        return -SURE
-    score = -1.0 + 0.03 * min(len(text), 200) + 1.5 * min(element.towards, 2) - 5.0 * linked
-    score += 0.5 * min(sum(text.count(c) for c in ".,;!?"), 4)
-    if element.tag in ("p", "h1", "h2", "h3", "blockquote", "pre"):
-        score += 1.0
+def costs(text: str, element: _Element, linked: float, beside: bool) -> float:
+    """Cost of calling a block boilerplate less that of calling it content; ``beside``: the page has a main
+    element. Small against the edges but for places that leave no doubt, so that neighbours decide what is open."""
+    heading = element.tag in HEADINGS
+    score = -0.5 + 0.01 * min(len(text), 200) + 0.25 * min(sum(text.count(c) for c in ".,;!?"), 4)
+    score += 0.5 * min(element.towards, 2) - (1.0 if heading else 3.0) * linked
+    if heading or element.tag in ("p", "blockquote", "pre"):
+        score += 0.5
     if element.main:
-        score = max(score, 0.0) + LIKELY
-    return score
+        score += IN_MAIN
+    elif beside and element.tag != "h1":
+        score -= BESIDE_MAIN
+    return score - max(element.firm, element.loose, FORM if element.form and not element.form.page else 0.0)
+
+
+def unary(found: list[tuple[str, _Element, float]]) -> list[float]:
+    beside = any(e.main and not e.firm and not e.loose for _, e, _ in found)
+    return [costs(*b, beside) for b in found]
 
 
 def _edges(elements: list[_Element]) -> list[list[list]]:
@@ -170,7 +233,7 @@ def _edges(elements: list[_Element]) -> list[list[list]]:
     for i, e in enumerate(elements):
         if i:
             a, b, steps = elements[i - 1], e, 0
-            while a is not b and steps < 6:
+            while a is not b:
                 if a.depth >= b.depth and a.parent:
                     a = a.parent
                 elif b.parent:
@@ -228,7 +291,7 @@ def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    keep = content([costs(*b) for b in found], _edges([b[1] for b in found]))
+    keep = content(unary(found), _edges([b[1] for b in found]))
     return "\n".join(b[0] for b, k in zip(found, keep) if k)
 
 
