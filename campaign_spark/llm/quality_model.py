@@ -191,6 +191,19 @@ def _logit(net: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return (h @ net["w2"] + net["b2"]) / net["t"]
 
 
+def training_rows(pooled: DataFrame, known: DataFrame) -> DataFrame:
+    """(x, y) of at most ``TRAIN_ROWS`` labelled rows, those whose doc_id hashes lowest.
+
+    Rows of a share of all hashes that holds about twice as many are ordered, so
+    that what a partition sends on does not grow with their number.
+    """
+    rows = pooled.join(known, "doc_id")
+    share = 2 * TRAIN_ROWS / max(rows.select("doc_id").count(), 1)
+    if share < 1:
+        rows = rows.filter(F.xxhash64("doc_id") < F.lit(int(share * 2 ** 64) - 2 ** 63))
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(TRAIN_ROWS).select("x", "y")
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
     docs = docs.select("doc_id", "text")
@@ -201,8 +214,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") ->
     known = labels.filter(F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"),
                                                           F.col(label).cast("double").alias("y")).distinct()
     # Learned from a bounded number of labelled rows that are not held out.
-    sample = (pooled.join(known.filter(~held), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
-              .select("x", "y").collect())
+    sample = training_rows(pooled, known.filter(~held)).collect()
     x = np.array([r["x"] for r in sample], np.float64).reshape(-1, DIM + EXTRA)
     net = train(x, np.array([r["y"] for r in sample]))
 

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from campaign_spark.llm import ann, html_text, licences, mixing, mixing_lm, near_dup, packing, quality, quality_model, suffix_dedup
 
@@ -299,10 +300,23 @@ def test_quality_model(spark):
     assert quality_model.score_quality(docs, labels.limit(0)).filter("score <> 0.5").count() == 0
 
 
+def test_training_rows_are_the_lowest_hashes(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "TRAIN_ROWS", 40)
+    pooled = spark.range(3_000).selectExpr("id as doc_id", "array(cast(id as float)) as x", "'other' as y2")
+    known = spark.range(0, 6_000, 2).selectExpr("id as doc_id", "cast(id % 4 = 0 as double) as y")
+    got = [(r.x[0], r.y) for r in quality_model.training_rows(pooled, known).collect()]
+    want = pooled.join(known, "doc_id").orderBy(F.xxhash64("doc_id")).limit(40).select("x", "y").collect()
+    assert got == [(r.x[0], r.y) for r in want] and len(got) == 40
+    monkeypatch.setattr(quality_model, "TRAIN_ROWS", 5_000)
+    assert quality_model.training_rows(pooled, known).count() == 1_500
+    assert quality_model.training_rows(pooled.limit(0), known).count() == 0
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for f in (near_dup.near_groups, suffix_dedup.remove_repeats, packing.pack, quality.judge, mixing.mix, licences.licence_scan,
               mixing_lm.score_documents):
         assert f(docs).count() == 0
+    assert quality_model.score_quality(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert html_text.extract(pages).count() == 0
