@@ -234,8 +234,12 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP) -> Dat
 
 def _ratio(rows: DataFrame, lists: DataFrame, queries: DataFrame, c: np.ndarray, links: np.ndarray, norm2: float,
            dim: int, top: int) -> float:
-    """The least distance ratio whose lists hold ``RECALL`` of the true neighbours of some queries."""
-    some = queries.orderBy(F.xxhash64("vec_id")).limit(CHECKED).collect()
+    """The distance ratio at which the search that is served finds lists with ``RECALL`` of the true neighbours
+    of some queries: the least by exact distances to all centroids, widened while the walk misses some."""
+    # Only a share of all hashes that holds some times as many queries is ordered.
+    share = 4 * CHECKED / max(queries.select("vec_id").count(), 1)
+    some = queries if share >= 1 else queries.filter(F.xxhash64("vec_id") < F.lit(int(share * 2 ** 64) - 2 ** 63))
+    some = some.orderBy(F.xxhash64("vec_id")).limit(CHECKED).collect()
     if not some:
         return 1.0
     ids = np.array([r["vec_id"] for r in some])
@@ -253,16 +257,28 @@ def _ratio(rows: DataFrame, lists: DataFrame, queries: DataFrame, c: np.ndarray,
     best = hits.groupBy("query_id", "vec_id").agg(F.max_by("h", "score").alias("h"))
     true = _ranked(hits, top).join(best, ["query_id", "vec_id"])
     where = lists.select("list", "vec_id", marked).join(true, ["vec_id", "h"]).select("query_id", "vec_id", "list").collect()  # CHECKED x TOP x REPLICAS
-    d = _distance(np.concatenate([q, np.zeros((len(q), 1))], 1), c)
+    flat = np.concatenate([q, np.zeros((len(q), 1))], 1)
+    d = _distance(flat, c)
     rel = d / np.maximum(d.min(1), 1e-12)[:, None]
-    at: dict = {}
+    rows_of: dict = {}
     for k, i in enumerate(ids):
-        at.setdefault(i, []).append(k)
-    need: dict = {}
+        rows_of.setdefault(i, []).append(k)
+    holds: dict = {}  # a true neighbour of a query: the (row, list) pairs that lead to it
     for r in where:
-        key = (r["query_id"], r["vec_id"])
-        need[key] = min(need.get(key, np.inf), rel[at[r["query_id"]], r["list"]].min())
-    return float(np.quantile(list(need.values()), RECALL)) * (1 + 1e-9) if need else 1.0
+        holds.setdefault((r["query_id"], r["vec_id"]), []).extend((k, r["list"]) for k in rows_of[r["query_id"]])
+    if not holds:
+        return 1.0
+    ratio = float(np.quantile([min(rel[k, j] for k, j in x) for x in holds.values()], RECALL)) * (1 + 1e-9)
+    while ratio < rel.max() and walked(flat, c, links, ratio, holds) < RECALL:
+        ratio *= 1.1
+    return ratio
+
+
+def walked(q: np.ndarray, c: np.ndarray, links: np.ndarray, ratio: float, holds: dict) -> float:
+    """Share of ``holds`` with a list that the walk over the graph reads at this ratio."""
+    d = search(q, c, links, ratio)
+    read = d <= ratio * d.min(1)[:, None] + 1e-12
+    return float(np.mean([any(read[k, j] for k, j in x) for x in holds.values()]))
 
 
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,6 +250,20 @@ def test_neighbours_of_repeated_rows(spark, times):
     assert hits >= 0.9 * 20 * n / 20
 
 
+def test_recall_is_that_of_the_walk():
+    """Lists the walk does not reach count as missed, however near; at a wide ratio it reaches all."""
+    rng = np.random.default_rng(9)
+    c, q = rng.normal(size=(200, 5)), rng.normal(size=(20, 5))
+    links = ann.graph(c)
+    d = ann._distance(q, c)
+    holds = {(k, j): [(k, j)] for k in range(20) for j in np.argsort(d[k])[:3]}
+    for ratio in (1.0, 1.5, 3.0, 1e9):
+        seen = ann.search(q, c, links, ratio)
+        want = np.mean([np.isfinite(seen[k, j]) and seen[k, j] <= ratio * seen[k].min() + 1e-12 for k, j in holds])
+        assert ann.walked(q, c, links, ratio, holds) == want
+    assert ann.walked(q, c, links, 1e9, holds) == 1.0
+
+
 def test_best_of_a_part_counts_ids():
     rng = np.random.default_rng(8)
     x = rng.normal(size=(100, 4))
