@@ -195,14 +195,14 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP) -> Dat
     held = held.select(F.explode("lists").alias("list"), F.least(F.lit(1.0), REPLICAS / F.size("lists")).alias("n"))
     for r in held.groupBy("list").agg(F.sum("n").alias("n")).collect():  # MAX_LISTS rows at most
         filled[r["list"]] = r["n"]
-    ratio = _ratio(rows, lists, queries, c, links, norm2, dim, top)
+    ratio, walk = _ratio(rows, lists, queries, c, links, norm2, dim, top)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 q = _matrix(part.column(1), dim)
-                d = search(np.concatenate([q, np.zeros((len(q), 1))], 1), c, links, ratio)
+                d = search(np.concatenate([q, np.zeros((len(q), 1))], 1), c, links, walk)
                 # The nearest lists up to enough vectors for a full answer are read whatever their distance.
                 order = np.argsort(d, 1, kind="stable")
                 before = np.empty(d.shape)
@@ -233,15 +233,15 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, top: int = TOP) -> Dat
 
 
 def _ratio(rows: DataFrame, lists: DataFrame, queries: DataFrame, c: np.ndarray, links: np.ndarray, norm2: float,
-           dim: int, top: int) -> float:
-    """The distance ratio at which the search that is served finds lists with ``RECALL`` of the true neighbours
-    of some queries: the least by exact distances to all centroids, widened while the walk misses some."""
+           dim: int, top: int) -> tuple[float, float]:
+    """The distance ratios up to which lists are read and the graph is walked: the least whose lists hold
+    ``RECALL`` of the true neighbours of some queries, and one at which the walk comes by that many."""
     # Only a share of all hashes that holds some times as many queries is ordered.
     share = 4 * CHECKED / max(queries.select("vec_id").count(), 1)
     some = queries if share >= 1 else queries.filter(F.xxhash64("vec_id") < F.lit(int(share * 2 ** 64) - 2 ** 63))
     some = some.orderBy(F.xxhash64("vec_id")).limit(CHECKED).collect()
     if not some:
-        return 1.0
+        return 1.0, 1.0
     ids = np.array([r["vec_id"] for r in some])
     q = np.array([r["v"] for r in some], np.float64)
 
@@ -267,16 +267,17 @@ def _ratio(rows: DataFrame, lists: DataFrame, queries: DataFrame, c: np.ndarray,
     for r in where:
         holds.setdefault((r["query_id"], r["vec_id"]), []).extend((k, r["list"]) for k in rows_of[r["query_id"]])
     if not holds:
-        return 1.0
-    ratio = float(np.quantile([min(rel[k, j] for k, j in x) for x in holds.values()], RECALL)) * (1 + 1e-9)
-    while ratio < rel.max() and walked(flat, c, links, ratio, holds) < RECALL:
-        ratio *= 1.1
-    return ratio
+        return 1.0, 1.0
+    ratio = float(np.quantile([min(rel[k, j] for k, j in x) for x in holds.values()], RECALL, method="higher")) * (1 + 1e-9)
+    walk = ratio
+    while walk < rel.max() and walked(flat, c, links, ratio, walk, holds) < RECALL:
+        walk *= 1.1
+    return ratio, walk
 
 
-def walked(q: np.ndarray, c: np.ndarray, links: np.ndarray, ratio: float, holds: dict) -> float:
-    """Share of ``holds`` with a list that the walk over the graph reads at this ratio."""
-    d = search(q, c, links, ratio)
+def walked(q: np.ndarray, c: np.ndarray, links: np.ndarray, ratio: float, walk: float, holds: dict) -> float:
+    """Share of ``holds`` with a list that is read up to ``ratio`` after a walk up to ``walk``."""
+    d = search(q, c, links, walk)
     read = d <= ratio * d.min(1)[:, None] + 1e-12
     return float(np.mean([any(read[k, j] for k, j in x) for x in holds.values()]))
 

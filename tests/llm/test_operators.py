@@ -257,11 +257,11 @@ def test_recall_is_that_of_the_walk():
     links = ann.graph(c)
     d = ann._distance(q, c)
     holds = {(k, j): [(k, j)] for k in range(20) for j in np.argsort(d[k])[:3]}
-    for ratio in (1.0, 1.5, 3.0, 1e9):
-        seen = ann.search(q, c, links, ratio)
+    for ratio, walk in ((1.0, 1.0), (1.5, 1.5), (1.5, 3.0), (3.0, 1e9), (1e9, 1e9)):
+        seen = ann.search(q, c, links, walk)
         want = np.mean([np.isfinite(seen[k, j]) and seen[k, j] <= ratio * seen[k].min() + 1e-12 for k, j in holds])
-        assert ann.walked(q, c, links, ratio, holds) == want
-    assert ann.walked(q, c, links, 1e9, holds) == 1.0
+        assert ann.walked(q, c, links, ratio, walk, holds) == want
+    assert ann.walked(q, c, links, 1e9, 1e9, holds) == 1.0
 
 
 def test_best_of_a_part_counts_ids():
