@@ -40,3 +40,10 @@ def test_rows_are_not_shuffled_for_their_last_date(spark, small_broadcasts):
     # Three keys of four have the last day; rows without a key have none and come before.
     assert {r.last_date for r in on.select("last_date").distinct().collect()} == {dt.date(2020, 1, 7)}
     assert before.filter("k is null").count() == 5_000
+
+
+def test_rows_are_not_shuffled_for_their_median(spark, small_broadcasts):
+    out = ops.impute_group_median(_rows(spark), ["k", "r"], ["v"])
+    assert "BroadcastHashJoin" in _plan(out)
+    assert not re.search("SortMergeJoin|ShuffledHashJoin|Exchange hashpartitioning", _plan(out))
+    assert out.count() == 20_000 and out.filter("v is null and k is not null").count() == 0
