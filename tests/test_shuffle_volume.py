@@ -47,3 +47,13 @@ def test_rows_are_not_shuffled_for_their_median(spark, small_broadcasts):
     assert "BroadcastHashJoin" in _plan(out)
     assert not re.search("SortMergeJoin|ShuffledHashJoin|Exchange hashpartitioning", _plan(out))
     assert out.count() == 20_000 and out.filter("v is null and k is not null").count() == 0
+
+
+def test_a_histogram_of_dates_is_not_counted_again_by_label(spark):
+    rows = spark.createDataFrame([(1, dt.date(2020, 1, 2), "NA"), (1, None, None), (1, dt.date(2020, 1, 2), None), (2, None, "a"),
+                                  (None, None, "a")], "k long, day date, s string")
+    by_day = ops.group_value_histogram(rows, ["k"], "day")
+    assert _plan(by_day).count("Exchange hashpartitioning") == 2
+    assert sorted(map(tuple, by_day.collect())) == [(1, 2, "2020-01-02: 2;; NA: 1"), (2, 1, "NA: 1")]
+    # A stored 'NA' and NULL stay one label.
+    assert sorted(map(tuple, ops.group_value_histogram(rows, ["k"], "s").collect())) == [(1, 1, "NA: 3"), (2, 1, "a: 1")]
