@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaign_spark.session import scratch_path
+from campaign_spark.sources.stages import hadoop_fs
 
 _U = np.uint64
 _CACHE_WORDS = 400_000  # words whose hash a Python worker keeps; memory only, no effect on results
@@ -30,6 +31,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(done: DataFrame) -> None:
+    """Delete the files of a ``cut`` that no later step reads: all that was made from it is written itself."""
+    files = done.inputFiles()
+    if files:
+        fs, path = hadoop_fs(done.sparkSession, files[0])
+        fs.delete(path.getParent(), True)
+
+
 def byte_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, body): whole texts as UTF-8 bytes, null as empty; other columns are left out."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHash, byte_texts, components, cut, mix, table
+from .common import WordHash, byte_texts, components, cut, discard, mix, table
 
 WORDS = 5
 PERCENT = 75
@@ -281,6 +281,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     centre = (slots.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("c"), F.max("doc").alias("hi"))
               .filter("c.doc < hi").select("bucket", F.col("c.doc").alias("centre"), F.col("c.n").alias("cn")))
     met = cut(slots.join(centre, "bucket"), "near-met")
+    discard(slots)
     members = cut(met.select("doc", "n", F.col("doc").alias("comp")).distinct(), "near-members")
     compared = classes.join(members.select("doc"), "doc")
     sets = cut(texts.join(compared.select(F.col("low").alias("doc_id")), "doc_id", "left_semi")
@@ -295,6 +296,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     members = _merge(members, edges)
     left, members = _star_round(met.select("bucket", "doc"), members, _degrees(edges), sets)
     left = cut(left, "near-left")
+    discard(met)
     if not left.isEmpty():
         exact = cut(_prefix_buckets(left, sets).join(members, "doc"), "near-prefix")
         mixed = exact.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
