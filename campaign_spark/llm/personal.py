@@ -17,9 +17,13 @@ with ``PRECISION``, and no less than ``LIKELY``; a kind with too few examples ad
 over the threshold that pass their check and touch no base span, the likeliest
 are taken first, then longer ones; what overlaps one already taken is left.
 
-One pass reads the texts and keeps spans and candidates only; the trees learn
-from at most ``2 * SAMPLE`` candidates, chosen by a hash (a documented bound);
-every candidate of every text is judged. There is no shuffle.
+One pass reads the texts and keeps spans and candidates only. Trees, calibration
+and thresholds come from all labelled candidates: their features are put into
+bins at the quantiles of all, equal rows of bins are counted, and every level of
+every round adds up gradients by node and bin over all of them, in tasks. The
+driver gets these sums, and held-out candidates counted by steps of the margin.
+Sums are of whole numbers, so that results don't depend on the order of rows.
+Every candidate of every text is judged.
 
 Defined cases: null and empty texts have no spans; a null doc_id stays null;
 every row gives a row, repeated ones the same; an empty table gives no rows;
@@ -40,14 +44,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import boosting
-from .common import byte_texts, cut, table
+from .common import byte_texts, cut, discard, table
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 40_000  # candidates to learn from, by a hash of their place; twice as many is a hard bound
 HELD_OUT = 4  # every fourth document, by a hash, calibrates and sets thresholds
 PRECISION = 0.95
 LIKELY = 0.5  # a candidate is never added below this probability
 MIN_EXAMPLES = 20  # of each class, learned from, and personal ones held out
+STEPS = 1_024  # of a unit of margin, in which held-out candidates are counted for calibration and thresholds
 
 _LOCAL_REVERSED = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -245,35 +249,93 @@ FOUND = ("doc_id long, base array<struct<kind: tinyint, start: long, stop: long>
 SPANS = "array<struct<kind: string, start: long, stop: long, score: double>>"
 
 
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(kind, held out, label, features) of the candidates with a label, from rows (held, found)."""
+    for b in batches:
+        found = b.column(1)
+        held = np.repeat(b.column(0).to_numpy(zero_copy_only=False), found.value_lengths().to_numpy(zero_copy_only=False))
+        flat = found.flatten()
+        use = np.flatnonzero(flat.field("label").is_valid().to_numpy(zero_copy_only=False))
+        for at in range(0, len(use), _FLUSH):
+            some = pa.array(use[at:at + _FLUSH])
+            kind, label, x = (flat.field(c).take(some) for c in ("kind", "label", "x"))
+            yield kind.to_numpy(), held[some.to_numpy()], label.to_numpy(), _vectors(x)
+
+
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each value of each feature occurs among the candidates to learn from."""
+    for kind, held, _, x in _labelled(batches):
+        rows = []
+        for k in np.unique(kind[~held]):
+            for j, column in enumerate(x[~held & (kind == k)].T):
+                rows += [(k, j, v, n) for v, n in zip(*np.unique(column, return_counts=True))]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int8(), pa.int8(), pa.float64(), pa.int64()))],
+                                             names=["kind", "feature", "value", "n"])
+
+
+def _binned(edges: dict[int, list[np.ndarray]]):
+    """Candidates as the bins of their features, equal ones counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, held, label, x in _labelled(batches):
+            for k in edges:
+                mine = kind == k
+                if mine.any():
+                    rows = np.column_stack([held[mine], label[mine], boosting.to_bins(x[mine], edges[k])]).astype(np.uint8)
+                    rows, n = np.unique(rows, axis=0, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(n), k, np.int8)), pa.array(rows[:, 0] > 0), pa.array(rows[:, 1].astype(np.int8)),
+                         pa.array([r.tobytes() for r in rows[:, 2:]], pa.binary()), pa.array(n)], names=["kind", "held", "label", "b", "n"])
+
+    return run
+
+
+def _margins(models: dict[int, tuple[boosting.Boosted, list[boosting.Tree]]]):
+    """Margins of rows (kind, label, b, n), rounded down to whole ``STEPS``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            step = np.zeros(b.num_rows, np.int64)
+            for k, at, binned, _, _ in boosting.table_rows(b, N_FEATURES):
+                step[at] = np.floor((models[k][0].base + boosting.added(binned, models[k][1])) * STEPS)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(step), b.column(3)], names=["kind", "label", "step", "n"])
+
+    return run
+
+
 def learn(found: DataFrame) -> dict[int, tuple[boosting.Boosted, float]]:
-    """kind -> (trees, threshold), from a bounded, hashed sample of the candidates with a label."""
-    each = found.select("doc_id", F.explode("found").alias("c")).filter("c.label is not null")
-    total = each.count()
-    share = min(1_000_000, 1_000_000 * SAMPLE // max(total, 1) + 1)
-    rows = (each.filter(F.pmod(F.xxhash64("doc_id", "c.kind", "c.start", "c.stop"), F.lit(1_000_000)) < share)
-            .limit(2 * SAMPLE)
-            .select("c.kind", "c.label", "c.x", (F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(HELD_OUT)) == 0).alias("held"))
-            .collect())
+    """kind -> (trees, threshold), from all candidates with a label."""
+    held = (F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(HELD_OUT)) == 0).alias("held")
+    each = found.select(held, "found")
+    edges: dict[int, list[np.ndarray]] = {}
+    for r in boosting.quantiles(each.mapInArrow(_values, "kind tinyint, feature tinyint, value double, n long")).collect():
+        edges.setdefault(r["kind"], [np.zeros(0)] * N_FEATURES)
+        edges[r["kind"]][r["feature"]] = np.append(edges[r["kind"]][r["feature"]], r["value"])
+    edges = {k: [np.sort(e) for e in edges[k]] for k in sorted(edges)}
+    binned = cut(each.mapInArrow(_binned(edges), "kind tinyint, held boolean, label tinyint, b binary, n long")
+                 .groupBy("kind", "held", "label", "b").agg(F.sum("n").alias("n")), "personal-binned")
+    size = {(r["kind"], r["held"], r["label"]): r["n"] for r in binned.groupBy("kind", "held", "label").agg(F.sum("n").alias("n")).collect()}
+    number = lambda k, held, label: size.get((k, held, label), 0)
+    bases = {k: boosting.prior(number(k, False, 1), number(k, False, 0) + number(k, False, 1)) for k in edges
+             if min(number(k, False, 0), number(k, False, 1), number(k, True, 1)) >= MIN_EXAMPLES}
+    if not bases:
+        discard(binned)
+        return {}
+    rows = binned.filter(F.col("kind").isin(list(bases)))
+    grown = boosting.fit_table(rows.filter("not held").select("kind", "label", "b", "n"), bases, edges)
+    steps = (rows.filter("held").select("kind", "label", "b", "n").mapInArrow(_margins(grown), "kind tinyint, label tinyint, step long, n long")
+             .groupBy("kind", "step").agg(F.sum(F.col("n") * F.col("label")).alias("personal"), F.sum("n").alias("n"))
+             .orderBy("kind", F.desc("step")).collect())
+    discard(binned)
     models = {}
-    # Rows come in any order: sorted, so that sums of floats don't depend on it.
-    rows = sorted(rows, key=lambda r: (r["held"], r["kind"], r["label"], r["x"]))
-    for kind in range(len(KINDS)):
-        mine = [r for r in rows if r["kind"] == kind]
-        x = _vectors([bytes(r["x"]) for r in mine])
-        y = np.array([r["label"] for r in mine], np.float64)
-        held = np.array([r["held"] for r in mine], bool)
-        personal = int(y[~held].sum())
-        if min(personal, len(y[~held]) - personal) < MIN_EXAMPLES or y[held].sum() < MIN_EXAMPLES:
-            continue
-        trees = boosting.fit(x[~held], y[~held])
-        trees.calibrate(x[held], y[held])
-        p = trees.probability(x[held])
-        order = np.argsort(-p, kind="stable")
-        right, n = np.cumsum(y[held][order]), np.arange(1, len(order) + 1)
-        last = np.append(p[order][1:] < p[order][:-1], True)  # equal probabilities are accepted together
-        good = np.flatnonzero(last & (right >= PRECISION * n))
+    for k, (trees, _) in grown.items():
+        step, personal, n = np.array([(r["step"], r["personal"], r["n"]) for r in steps if r["kind"] == k], float).T
+        middle = (step + 0.5) / STEPS
+        trees.calibrate_margins(np.tile(middle, 2), np.repeat([1.0, 0.0], len(n)), np.concatenate([personal, n - personal]))
+        good = np.flatnonzero(np.cumsum(personal) >= PRECISION * np.cumsum(n))
         if len(good):
-            models[kind] = (trees, max(float(p[order][good[-1]]), LIKELY))
+            models[k] = (trees, max(float(trees.scaled(step[good[-1]:good[-1] + 1] / STEPS)[0]), LIKELY))
     return models
 
 

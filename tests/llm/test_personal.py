@@ -100,6 +100,30 @@ def test_spans(spark, tmp_path):
     assert few.filter("b <> s").count() == 0  # too few examples: nothing is added
 
 
+def test_learns_from_all_candidates(spark, monkeypatch):
+    """120,000 candidates: trees, calibration and threshold are those of plain arrays of all of them."""
+    monkeypatch.setattr(boosting, "ROUNDS", 10)
+    rng = np.random.default_rng(3)
+    x = np.zeros((2_000, 60, pp.N_FEATURES), np.float32)
+    x[..., :3] = rng.integers(0, [200, 9, 3], (2_000, 60, 3))
+    y = ((x[..., 0] > 70) ^ (x[..., 1] > 5) ^ (rng.random((2_000, 60)) < 0.02)).astype(int)
+    rows = [(k, [(2, j, j + 1, False, int(y[k, j]), x[k, j].tobytes()) for j in range(60)]) for k in range(2_000)]
+    found = spark.createDataFrame([(k, [], f) for k, f in rows], pp.FOUND)
+    (kind, (trees, threshold)), = pp.learn(found.repartition(7)).items()
+    held = np.array([r[0] for r in found.selectExpr(f"pmod(xxhash64('held', doc_id), {pp.HELD_OUT}) = 0").collect()])
+    want = boosting.fit(x[~held].reshape(-1, pp.N_FEATURES).astype(float), y[~held].ravel().astype(float))
+    assert kind == 2
+    assert np.array_equal(trees.feature, want.feature) and np.array_equal(trees.threshold, want.threshold)
+    assert np.array_equal(trees.leaf, want.leaf)
+    xh, yh = x[held].reshape(-1, pp.N_FEATURES).astype(float), y[held].ravel().astype(float)
+    want.calibrate(xh, yh)
+    assert np.allclose([trees.slope, trees.shift], [want.slope, want.shift], atol=0.01)
+    p = trees.probability(xh)
+    assert yh[p >= threshold].mean() >= pp.PRECISION or threshold == pp.LIKELY
+    again, = pp.learn(found.repartition(3)).values()
+    assert np.array_equal(again[0].leaf, trees.leaf) and again[1] == threshold
+
+
 def test_redact():
     spans = [{"kind": "card", "start": 2, "stop": 6}, {"kind": "phone", "start": 4, "stop": 8}, {"kind": "ip", "start": 9, "stop": 10}]
     assert pp.redact("ab12345678cd"[:12], spans) == "ab[card]7[ip]cd"
