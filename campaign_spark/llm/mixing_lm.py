@@ -4,22 +4,22 @@ Texts are coded bit by bit. Four predictors look up, by hash, how often each bit
 followed its context - the last one, two or three bytes, or all bytes of the word
 so far - in the training texts. Their logits are combined by weights that two
 gates select (how often the longest contexts were seen; the bit's and the byte's
-place), learned online, word by word, each word left out of its own counts; an
-adaptive table refines the mixed probability. White space between words is coded
-by a small table of transitions. ``score`` is the log10 probability of all bits.
-
-Contexts start anew with each word, so a word's probability is the same wherever
-it stands and is computed once for each distinct word of the corpus:
+place); an adaptive table refines the mixed probability. Every text starts from
+weights learned on the training words, each word left out of its own counts, and
+updates weights and table of its own after every bit that is read. White space
+between words is coded by a small table of transitions. ``score`` is the log10
+probability of all bits, and depends on no other text scored with it.
 
 1. ``chunks``: tasks pack whole texts into chunks of about ``CHUNK`` bytes.
 2. ``vocabulary``: each chunk sends its distinct words, with their counts in
    training texts, to buckets by hash; a bucket adds them up. However common a
    word is, a chunk sends it once.
-3. The counts of hashed contexts (fixed size) are summed over the buckets, mixer
-   weights are learned in each bucket and averaged, and each bucket scores its words.
-4. Buckets reply to the chunks, and chunks sum up their documents.
+3. The counts of hashed contexts (fixed size) are summed over the buckets, and the
+   weights that texts start from are learned in each bucket and averaged.
+4. Buckets reply counts to the chunks, and chunks read their texts, those of a
+   chunk side by side.
 
-Words are told apart by 64-bit hashes. Defined cases: a null or empty text has the
+The contexts that are counted start anew with each word. Words are told apart by 64-bit hashes. Defined cases: a null or empty text has the
 end token alone; a null doc_id stays null and counts as training; repeated rows
 give repeated rows; with no training text all counts are 0; an empty table gives no
 rows; other columns are not read.
@@ -49,7 +49,10 @@ PIECE = 4_096  # slots summed together
 GATE_A, GATE_B, BINS = 35, 32, 24
 RATE = 0.01
 BATCH = 20_000  # words coded together
+ONLINE, ADAPT = 0.002, 0.02  # rates of a text's own weights and refining table
+TEXTS = 2_048  # texts read side by side
 _U = np.uint64
+_SHIFT = np.array([[64 - s] for s in SIZES], _U)
 _START, _STOP = 7, 8  # states of the white-space table besides 0 (word) and 1-6 (its bytes)
 _SPACE = np.zeros(256, np.int64)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = range(1, 7)
@@ -168,7 +171,7 @@ class Coder:
         self.word = np.repeat(np.arange(len(words)), size)
         self.place = np.arange(len(data)) - start[self.word]
         self.byte = data
-        back = [np.where(self.place >= k, np.concatenate([np.zeros(k, np.int64), data[:-k]]), 0) for k in (1, 2, 3)]
+        back = [np.where(self.place >= k, np.concatenate([np.zeros(k, np.int64), data])[:len(data)], 0) for k in (1, 2, 3)]
         self.contexts = [back[0].astype(_U), (back[0] + (back[1] << 8) + 1).astype(_U),
                          (back[0] + (back[1] << 8) + (back[2] << 16) + 2).astype(_U), self._prefix(size, start)]
 
@@ -299,16 +302,76 @@ class Mixer:
                 for v in (0, 1):
                     self.refine[v] += np.bincount(cell, weights=weight[z] * (bit[z] == v), minlength=GATE_B * BINS).reshape(GATE_B, BINS)
 
-    def log10(self, coder: Coder, words: int) -> np.ndarray:
-        """log10 probability of each word with its end."""
-        out = np.zeros(words)
-        for k, bit, slots in coder.bits():
-            x, ga, gb = self.inputs(coder, k, bit, slots, False)
-            z = self.mixed(x, ga, gb)
-            cell = self._bin(z)
-            one = self.refine[1][gb, cell] / (self.refine[0][gb, cell] + self.refine[1][gb, cell])
-            p = np.clip((3 * _squash(z) + one) / 4, 1e-7, 1 - 1e-7)
-            out += np.bincount(coder.word, weights=np.log10(np.where(bit == 1, p, 1 - p)), minlength=words)
+
+class Reader:
+    """Reads texts bit by bit; each has weights and refining table of its own, which every bit updates once it is coded."""
+
+    def __init__(self, mixer: Mixer):
+        self.weights = np.concatenate([mixer.a, mixer.b]).astype(np.float32)
+        self.refine = (mixer.refine[1] / mixer.refine.sum(0)).ravel()
+        # One number for each slot, so that it is looked up once: real the logit, imaginary how often it was seen, by steps.
+        self.slots = np.concatenate([np.log((t[1] + 0.02) / (t[0] + 0.02)) for t in mixer.tables]).astype(np.complex64)
+        self.first = np.cumsum([0] + [1 << s for s in SIZES])[:-1, None]
+        steps = (), (), (0, 1, 3, 20), (0, 1, 3, 20, 200, 5_000)
+        for t, first, some in zip(mixer.tables, self.first[:, 0], steps):
+            for n in some:
+                self.slots.imag[first:first + t.shape[1]] += t.sum(0) > n
+
+    def log10(self, texts: list[bytes]) -> np.ndarray:
+        """log10 probability of each text, whose words all end with a blank."""
+        out = np.zeros(len(texts))
+        order = np.argsort([-len(t) for t in texts], kind="stable")
+        for at in range(0, len(order), TEXTS):
+            some = order[at:at + TEXTS]
+            out[some] = self._read([texts[i] for i in some])
+        return out
+
+    def _at(self, contexts: np.ndarray, node: np.ndarray) -> np.ndarray:
+        x = contexts * _U(0x9E3779B97F4A7C15)
+        x += node
+        x *= _U(0xD6E8FEB86659FD93)
+        x ^= x >> _U(31)
+        x *= _U(0xBF58476D1CE4E5B9)
+        x >>= _SHIFT
+        x[0] = contexts[0] * _U(256) + node
+        return x.view(np.int64) + self.first
+
+    def _read(self, texts: list[bytes]) -> np.ndarray:
+        """Texts by falling length: the first ``live`` of them have a byte at the place that is read."""
+        size = np.array([len(t) for t in texts])
+        data, start = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size
+        weights, refine = np.tile(self.weights, (len(texts), 1)), np.tile(self.refine, len(texts))
+        back, prefix = np.zeros((3, len(texts)), _U), np.full(len(texts), 0x9E37, _U)
+        place, out = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        for i in range(int(size.max(initial=0))):
+            live = int(np.searchsorted(-size, -i))
+            own, cells, at = np.arange(live) * (GATE_A + GATE_B), np.arange(live) * (GATE_B * BINS), place[:live]
+            byte = data[start[:live] + i].astype(np.int64)
+            c = back[:, :live]
+            contexts = np.stack([c[0], c[0] + (c[1] << _U(8)) + _U(1), c[0] + (c[1] << _U(8)) + (c[2] << _U(16)) + _U(2), prefix[:live]])
+            near, chance = np.minimum(at, 3), np.empty((8, live))
+            for k in range(8):
+                bit = (byte >> (7 - k)) & 1
+                met = self.slots.take(self._at(contexts, ((1 << k) | (byte >> (8 - k))).view(_U)))
+                x = np.ascontiguousarray(met.real.T)
+                ga, gb = own + (met.imag[3] * 5 + met.imag[2]).astype(np.int64), near + (k * 4)
+                wa, wb = weights.take(ga, 0), weights.take(own + (gb + GATE_A), 0)
+                z = np.einsum("ij,ij->i", x, wa + wb).astype(float)
+                p = _squash(z)
+                cell = cells + gb * BINS + np.minimum(np.maximum(z + BINS / 2, 0), BINS - 1).astype(np.int64)
+                one = refine.take(cell)
+                mixed = (3 * p + one) / 4
+                chance[k] = np.where(bit, mixed, 1 - mixed)
+                step = x * (ONLINE * (bit - p)).astype(np.float32)[:, None]
+                weights[ga] = wa + step
+                weights[own + (gb + GATE_A)] = wb + step
+                refine[cell] = one + ADAPT * (bit - one)
+            out[:live] += np.log10(np.clip(chance, 1e-7, 1 - 1e-7)).sum(0)
+            ended, value = byte == 0x20, byte.view(_U)
+            prefix[:live] = np.where(ended, _U(0x9E37), (prefix[:live] ^ value) * _U(0x100000001B3) + at.view(_U))
+            back[1:, :live] = np.where(ended, _U(0), back[:2, :live])
+            back[0, :live] = np.where(ended, _U(0), value)
+            place[:live] = np.where(ended, 0, at + 1)
         return out
 
 
@@ -329,21 +392,29 @@ def _learn(tables: list[np.ndarray]):
     return run
 
 
-def _score_words(mixer_parts: tuple):
+def _replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each chunk's words' counts, from the bucket that has added them up."""
+    for row in _rows(batches):
+        counts = np.frombuffer(row["counts"], np.int64)
+        for chunk, places in zip(row["chunks"], row["places"]):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk]), pa.array([row["bucket"]], pa.int32()),
+                 pa.array([counts[np.frombuffer(places, np.int32)].tobytes()], pa.binary())], names=["chunk", "bucket", "counts"])
+
+
+def _read_texts(reader: Reader):
+    """Chunks with the log10 probability of each text's words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(*mixer_parts)
-        for row in _rows(batches):
-            words = _split(row["words"])
-            value = np.concatenate([mixer.log10(Coder(words[at:at + BATCH]), len(words[at:at + BATCH]))
-                                    for at in range(0, len(words), BATCH)])
-            value[[i for i, w in enumerate(words) if not w]] = 0.0  # the end is coded with the white space
-            counts = np.frombuffer(row["counts"], np.int64)
-            for chunk, places in zip(row["chunks"], row["places"]):
-                at = np.frombuffer(places, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk]), pa.array([row["bucket"]], pa.int32()), pa.array([counts[at].tobytes()], pa.binary()),
-                     pa.array([value[at].astype(np.float32).tobytes()], pa.binary())],
-                    names=["chunk", "bucket", "counts", "values"])
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1)
+                sizes, packed = row.column(3)[0].as_py(), row.column(4)[0].as_py()
+                data = zstandard.ZstdDecompressor().decompress(packed, max_output_size=max(1, sum(sizes)))
+                ends = np.cumsum(sizes).tolist()
+                values = reader.log10([b"".join(w + b" " for w in data[e - n:e].split()) for e, n in zip(ends, sizes)])
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([values.tobytes()], pa.binary())],
+                                                 names=[*b.schema.names, "values"])
 
     return run
 
@@ -361,12 +432,11 @@ def _documents(n: int, v: int, moves: np.ndarray):
         for _, row in left.iterrows():
             right = right.sort_values("bucket")
             counts = np.concatenate([np.frombuffer(x, np.int64) for x in right["counts"]])
-            values = np.concatenate([np.frombuffer(x, np.float32) for x in right["values"]])
             bodies, texts, _, _, place = _indexed(row["blob"], row["sizes"])
             logs = np.log10(counts + 1.0) - whole
-            for doc, held, body, t in zip(row["doc_ids"], row["held"], bodies, texts):
+            for doc, held, body, t, value in zip(row["doc_ids"], row["held"], bodies, texts, np.frombuffer(row["values"])):
                 at = np.append(place[t], place[-1])
-                score = float(values[at].sum(dtype=np.float64) + spaces(body) @ move)
+                score = float(value + spaces(body) @ move)
                 out.append((doc, bool(held), len(at), int((counts[at] > 0).sum()), n, float(logs[at].sum()), score,
                             -score * np.log2(10) / max(1, len(body))))
         return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
@@ -375,6 +445,7 @@ def _documents(n: int, v: int, moves: np.ndarray):
     return run
 
 
+CHUNK_ROW = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<long>, blob binary"
 _RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
            "score double, bits_per_byte double")
 
@@ -385,8 +456,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     held = F.expr("coalesce(pmod(crc32(cast(cast(doc_id as string) as binary)), 7) = 2, false)")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"),
                         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
-    chunks = cut(texts.mapInArrow(_chunks, "chunk long, doc_ids array<long>, held array<boolean>, sizes array<long>, blob binary"),
-                 "lm-chunks")
+    chunks = cut(texts.mapInArrow(_chunks, CHUNK_ROW), "lm-chunks")
     buckets = max(4, -(-chunks.count() // CHUNKS_A_BUCKET))
     vocabulary = cut(
         chunks.mapInArrow(_slices(buckets), "bucket int, chunk long, words binary, counts binary, moves binary")
@@ -410,10 +480,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
         na, nb = start.a.size, start.b.size
         start.a, start.b = (x[:na] / x[-1]).reshape(start.a.shape), (x[na:na + nb] / x[-1]).reshape(start.b.shape)
         start.refine = start.refine + x[na + nb:-1].reshape(start.refine.shape)
-    scored = vocabulary.select("bucket", "words", "counts", "chunks", "places").mapInArrow(
-        _score_words((tables, start.a, start.b, start.refine)), "chunk long, bucket int, counts binary, values binary")
+    replies = vocabulary.select("bucket", "counts", "chunks", "places").mapInArrow(_replies, "chunk long, bucket int, counts binary")
+    read = chunks.mapInArrow(_read_texts(Reader(start)), f"{CHUNK_ROW}, values binary")
     moves = np.array([m or 0 for m in sums[2:]], float)
-    return (chunks.groupBy("chunk").cogroup(scored.groupBy("chunk"))
+    return (read.groupBy("chunk").cogroup(replies.groupBy("chunk"))
             .applyInPandas(_documents(int(sums[0]), int(sums[1]), moves), _RESULT))
 
 

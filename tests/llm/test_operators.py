@@ -334,3 +334,34 @@ def test_empty_tables(spark):
     assert quality_model.score_quality(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert html_text.extract(pages).count() == 0
+
+
+def test_lm_updates_its_weights_with_every_bit(spark):
+    """Read side by side, texts score as one bit after the other does with weights and table of the text's own."""
+    rng = np.random.default_rng(2)
+    mixer = mixing_lm.Mixer([(rng.random((2, 1 << s)) ** 8 * 30).astype(np.float32) for s in mixing_lm.SIZES])
+    texts_ = [b"", b"abcabc d abcabc ", b"x ", "é€ word é€ ".encode(), b"d abcabc abcabc "]
+
+    def plain(text):
+        a, b, total = mixer.a.copy(), mixer.b.copy(), 0.0
+        refine = mixer.refine[1] / mixer.refine.sum(0)
+        for word in text.split():
+            coder = mixing_lm.Coder([word])
+            bits = [(*mixer.inputs(coder, k, bit, slots, False), bit) for k, bit, slots in coder.bits()]
+            for i in range(len(word) + 1):
+                for xs, gas, gbs, bs in bits:
+                    x, ga, gb, bit = xs[i], gas[i], gbs[i], bs[i]
+                    z = x @ (a[ga] + b[gb])
+                    p, cell = mixing_lm._squash(z), int(np.clip(int(z + mixing_lm.BINS / 2), 0, mixing_lm.BINS - 1))
+                    mixed = np.clip((3 * p + refine[gb, cell]) / 4, 1e-7, 1 - 1e-7)
+                    total += np.log10(mixed if bit else 1 - mixed)
+                    a[ga] += mixing_lm.ONLINE * (bit - p) * x
+                    b[gb] += mixing_lm.ONLINE * (bit - p) * x
+                    refine[gb, cell] += mixing_lm.ADAPT * (bit - refine[gb, cell])
+        return total
+
+    got = mixing_lm.Reader(mixer).log10(texts_)
+    assert np.allclose(got, [plain(t) for t in texts_], rtol=1e-4)
+    docs = spark.createDataFrame([(1, "some words to learn from, some other"), (2, "zq xv zq"), (3, "zq zq xv")], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in mixing_lm.score_documents(docs).collect()}
+    assert score[2] != score[3]  # the same words in another order: the weights differ when they are read
