@@ -16,8 +16,9 @@ probability of all bits, and depends on no other text scored with it.
    word is, a chunk sends it once.
 3. The counts of hashed contexts (fixed size) are summed over the buckets, and the
    weights that texts start from are learned in each bucket and averaged.
-4. Buckets reply counts to the chunks, and chunks read their texts, those of a
-   chunk side by side.
+4. Texts are dealt by length into parts of about ``PART`` bytes, and each part reads
+   its texts side by side: those that stand together end at about the same time.
+5. Buckets reply counts and parts reply scores to the chunks.
 
 The contexts that are counted start anew with each word. Words are told apart by 64-bit hashes. Defined cases: a null or empty text has the
 end token alone; a null doc_id stays null and counts as training; repeated rows
@@ -38,10 +39,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, mix, table
 
 CHUNK = 8_000_000
 CHUNKS_A_BUCKET = 8
+READ = -1  # stands for a bucket where a part replies scores
 END = 0xE4D0F7E87A11B0E5  # stands for the end token among the word hashes
 SIZES = (16, 18, 20, 22)  # log2 of the slots of each predictor
 LONG = 1 << 20  # slots of a table above which only those that occur are summed
@@ -51,8 +53,13 @@ RATE = 0.01
 BATCH = 20_000  # words coded together
 ONLINE, ADAPT = 0.002, 0.02  # rates of a text's own weights and refining table
 TEXTS = 2_048  # texts read side by side
+WINDOW = 1 << 19  # bytes of them whose contexts are looked up together
+PART = 32_000_000  # bytes of texts of about the same length that a task reads
+CLASSES = 8  # lengths told apart from one power of two to the next
+MET = 20  # log2 of the places in which equal contexts meet
 _U = np.uint64
 _SHIFT = np.array([[64 - s] for s in SIZES], _U)
+_BITS = np.ascontiguousarray(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).T.astype(float))
 _START, _STOP = 7, 8  # states of the white-space table besides 0 (word) and 1-6 (its bytes)
 _SPACE = np.zeros(256, np.int64)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = range(1, 7)
@@ -304,18 +311,27 @@ class Mixer:
 
 
 class Reader:
-    """Reads texts bit by bit; each has weights and refining table of its own, which every bit updates once it is coded."""
+    """Reads texts bit by bit; each has weights and refining table of its own, which every bit updates once it is coded.
+
+    Logits and gates of a bit depend on its word alone, so they are looked up once for each beginning of a word in a
+    window of texts. The bits of a byte share no weights of the second gate and no cells of the refining table: those
+    are fetched and updated a byte at a time, which is the same as bit by bit.
+    """
 
     def __init__(self, mixer: Mixer):
-        self.weights = np.concatenate([mixer.a, mixer.b]).astype(np.float32)
-        self.refine = (mixer.refine[1] / mixer.refine.sum(0)).ravel()
+        self.a = mixer.a.astype(np.float32)
+        # By place in the word, then by bit.
+        self.b = mixer.b.astype(np.float32).reshape(8, 4, len(SIZES)).transpose(1, 0, 2).reshape(4, -1)
+        self.refine = (mixer.refine[1] / mixer.refine.sum(0)).reshape(8, 4, BINS).transpose(1, 0, 2).ravel()
         # One number for each slot, so that it is looked up once: real the logit, imaginary how often it was seen, by steps.
-        self.slots = np.concatenate([np.log((t[1] + 0.02) / (t[0] + 0.02)) for t in mixer.tables]).astype(np.complex64)
+        self.slots = np.zeros(sum(1 << s for s in SIZES), np.complex64)
         self.first = np.cumsum([0] + [1 << s for s in SIZES])[:-1, None]
         steps = (), (), (0, 1, 3, 20), (0, 1, 3, 20, 200, 5_000)
         for t, first, some in zip(mixer.tables, self.first[:, 0], steps):
+            self.slots.real[first:first + t.shape[1]] = np.log((t[1] + 0.02) / (t[0] + 0.02))
             for n in some:
                 self.slots.imag[first:first + t.shape[1]] += t.sum(0) > n
+        self.met = np.empty(1 << MET, np.int32)
 
     def log10(self, texts: list[bytes]) -> np.ndarray:
         """log10 probability of each text, whose words all end with a blank."""
@@ -336,48 +352,127 @@ class Reader:
         x[0] = contexts[0] * _U(256) + node
         return x.view(np.int64) + self.first
 
+    def _distinct(self, prefix: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which bytes to look up (their contexts differ), and for each byte its number among those."""
+        key = (prefix ^ near * _U(0x9E3779B97F4A7C15)) * _U(0xD6E8FEB86659FD93) >> _U(64 - MET)
+        own = np.arange(len(key), dtype=np.int32)
+        self.met[key] = own  # any one of those that meet; the others are compared with it
+        which = self.met.take(key.view(np.int64))
+        which = np.where((prefix.take(which) == prefix) & (near.take(which) == near), which, own)
+        first = np.flatnonzero(which == own)
+        number = np.empty(len(key), np.int32)
+        number[first] = np.arange(len(first), dtype=np.int32)
+        return first, number.take(which)
+
+    def _look_up(self, prefix: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logits (byte, bit and predictor) and first gates (byte, bit) of bytes after their contexts."""
+        x, gate = np.empty((len(prefix), 8, len(SIZES)), np.float32), np.empty((len(prefix), 8), np.int8)
+        for at in range(0, len(prefix), 16_384):
+            z = slice(at, at + 16_384)
+            c, byte = near[z] >> _U(8), (near[z] & _U(255)).view(np.int64)
+            contexts = np.stack([c & _U(0xFF), (c & _U(0xFFFF)) + _U(1), c + _U(2), prefix[z]])
+            for k in range(8):
+                met = self.slots.take(self._at(contexts, ((1 << k) | (byte >> (8 - k))).view(_U)))
+                x[z, k] = met.real.T
+                gate[z, k] = met.imag[3] * 5 + met.imag[2]
+        return x.reshape(len(prefix), -1).view(np.complex128), gate
+
     def _read(self, texts: list[bytes]) -> np.ndarray:
         """Texts by falling length: the first ``live`` of them have a byte at the place that is read."""
         size = np.array([len(t) for t in texts])
         data, start = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size
-        weights, refine = np.tile(self.weights, (len(texts), 1)), np.tile(self.refine, len(texts))
-        back, prefix = np.zeros((3, len(texts)), _U), np.full(len(texts), 0x9E37, _U)
-        place, out = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        for i in range(int(size.max(initial=0))):
-            live = int(np.searchsorted(-size, -i))
-            own, cells, at = np.arange(live) * (GATE_A + GATE_B), np.arange(live) * (GATE_B * BINS), place[:live]
-            byte = data[start[:live] + i].astype(np.int64)
-            c = back[:, :live]
-            contexts = np.stack([c[0], c[0] + (c[1] << _U(8)) + _U(1), c[0] + (c[1] << _U(8)) + (c[2] << _U(16)) + _U(2), prefix[:live]])
-            near, chance = np.minimum(at, 3), np.empty((8, live))
-            for k in range(8):
-                bit = (byte >> (7 - k)) & 1
-                met = self.slots.take(self._at(contexts, ((1 << k) | (byte >> (8 - k))).view(_U)))
-                x = np.ascontiguousarray(met.real.T)
-                ga, gb = own + (met.imag[3] * 5 + met.imag[2]).astype(np.int64), near + (k * 4)
-                wa, wb = weights.take(ga, 0), weights.take(own + (gb + GATE_A), 0)
-                z = np.einsum("ij,ij->i", x, wa + wb).astype(float)
-                p = _squash(z)
-                cell = cells + gb * BINS + np.minimum(np.maximum(z + BINS / 2, 0), BINS - 1).astype(np.int64)
-                one = refine.take(cell)
-                mixed = (3 * p + one) / 4
-                chance[k] = np.where(bit, mixed, 1 - mixed)
-                step = x * (ONLINE * (bit - p)).astype(np.float32)[:, None]
-                weights[ga] = wa + step
-                weights[own + (gb + GATE_A)] = wb + step
-                refine[cell] = one + ADAPT * (bit - one)
-            out[:live] += np.log10(np.clip(chance, 1e-7, 1 - 1e-7)).sum(0)
-            ended, value = byte == 0x20, byte.view(_U)
-            prefix[:live] = np.where(ended, _U(0x9E37), (prefix[:live] ^ value) * _U(0x100000001B3) + at.view(_U))
-            back[1:, :live] = np.where(ended, _U(0), back[:2, :live])
-            back[0, :live] = np.where(ended, _U(0), value)
-            place[:live] = np.where(ended, 0, at + 1)
+        n, out, longest = len(texts), np.zeros(len(texts)), int(size.max(initial=0))
+        # The four weights of a gate are moved as one number of 16 bytes.
+        first, second = np.tile(self.a, (n, 1)).view(np.complex128).ravel(), np.tile(self.b, (n, 1)).view(np.complex128)
+        refine = np.tile(self.refine, n)
+        state = np.zeros(n, _U), np.full(n, 0x9E37, _U), np.zeros(n, np.int64)
+        own, at = np.arange(n), 0
+        while at < longest:
+            live = int(np.searchsorted(-size, -at))
+            steps = min(max(1, WINDOW // live), longest - at)
+            lives = np.searchsorted(-size, -np.arange(at, at + steps))
+            edge = np.concatenate([[0], np.cumsum(lives)])
+            bytes_, near, prefix, place = (np.empty(edge[-1], t) for t in (np.uint8, _U, _U, np.int64))
+            for i in range(steps):
+                self._contexts(data[start[:lives[i]] + (at + i)], *(x[:lives[i]] for x in state),
+                               *(x[edge[i]:edge[i + 1]] for x in (bytes_, near, prefix, place)))
+            which, number = self._distinct(prefix, near)
+            x, gate = self._look_up(prefix[which], near[which])
+            del near, prefix
+            for i in range(steps):
+                z = slice(edge[i], edge[i + 1])
+                out[:lives[i]] += self._byte(bytes_[z], own[:lives[i]], place[z], x.take(number[z], 0), gate.take(number[z], 0),
+                                             first, second, refine)
+            at += steps
         return out
 
-
-def _learn(tables: list[np.ndarray]):
+    @staticmethod
+    def _contexts(byte, back, prefix, place, bytes_, near, prefix_, place_) -> None:
+        """Notes a byte's contexts (the last three bytes before it and the byte itself as one number) and moves on."""
+        bytes_[:], prefix_[:] = byte, prefix
+        value = byte.astype(_U)
+        np.minimum(place, 3, out=place_)
+        np.add(back << _U(8), value, out=near)
+        go = byte != 0x20
+        prefix ^= value
+        prefix *= _U(0x100000001B3)
+        prefix += place.view(_U)
+        prefix[~go] = 0x9E37
+        np.multiply(near & _U(0xFFFFFF), go, out=back)
+        place += 1
+        place *= go
+
+    @staticmethod
+    def _byte(byte, own, place, x, gate, first, second, refine) -> np.ndarray:
+        """log10 probability of a byte of each text; its eight bits update the text's weights and table."""
+        n, bit = len(byte), _BITS.take(byte, 1)
+        ga, gb = gate.T + own * GATE_A, own * 4 + place
+        x, wb = np.ascontiguousarray(x.T).view(np.float32), np.ascontiguousarray(second.take(gb, 0).T)
+        wb_ = wb.view(np.float32)  # of each bit the weights of all texts, as in x
+        z, p, error = np.empty((8, n)), np.empty((8, n)), np.empty((n, len(SIZES)), np.float32)
+        flat = error.ravel()
+        for k in range(8):
+            some, at = x[k], ga[k]
+            wa = first.take(at)
+            t = wa.view(np.float32) + wb_[k]
+            t *= some
+            np.add(t[0::4] + t[1::4], t[2::4] + t[3::4], out=z[k])
+            # The logistic function.
+            q = np.tanh(z[k] * 0.5, out=p[k])
+            q *= 0.5
+            q += 0.5
+            e = bit[k] - q
+            e *= ONLINE
+            error.T[:] = e.astype(np.float32)
+            some *= flat
+            wa.view(np.float32)[:] += some
+            wb_[k] += some
+            first[at] = wa
+        second[gb] = wb.T
+        z += BINS / 2
+        np.maximum(z, 0, out=z)
+        np.minimum(z, BINS - 1, out=z)
+        cell = z.astype(np.int64)
+        cell += gb * (8 * BINS) + np.arange(0, 8 * BINS, BINS)[:, None]
+        one = refine.take(cell)
+        p *= 3
+        p += one
+        p *= 0.25
+        np.subtract(bit, one, out=z)
+        z *= ADAPT
+        one += z
+        refine[cell] = one
+        p += bit
+        p -= 1
+        np.abs(p, out=p)
+        np.maximum(p, 1e-7, out=p)
+        np.minimum(p, 1 - 1e-7, out=p)
+        return np.log10(p.prod(0))
+
+
+def _learn(tables: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, words_seen = Mixer(tables), 0
+        mixer, words_seen = Mixer(_unpacked(tables)), 0
         prior = mixer.refine.copy()
         for row in _rows(batches):
             for words, counts in _used(row):
@@ -402,23 +497,79 @@ def _replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([counts[np.frombuffer(places, np.int32)].tobytes()], pa.binary())], names=["chunk", "bucket", "counts"])
 
 
-def _read_texts(reader: Reader):
-    """Chunks with the log10 probability of each text's words."""
+def dealt(sizes: dict[int, int]) -> tuple[dict[int, tuple[int, int]], int]:
+    """Where the texts of each class of lengths begin, the longest first, with their bytes; and the bytes of all."""
+    starts, end = {}, 0
+    for c in sorted(sizes, reverse=True):
+        starts[c] = end, sizes[c]
+        end += sizes[c]
+    return starts, end
+
+
+def _deal(starts: dict[int, tuple[int, int]]):
+    """Texts with the part that reads them: a class of lengths is spread evenly over the bytes it takes up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(b.num_rows):
-                row = b.slice(i, 1)
-                sizes, packed = row.column(3)[0].as_py(), row.column(4)[0].as_py()
-                data = zstandard.ZstdDecompressor().decompress(packed, max_output_size=max(1, sum(sizes)))
-                ends = np.cumsum(sizes).tolist()
-                values = reader.log10([b"".join(w + b" " for w in data[e - n:e].split()) for e, n in zip(ends, sizes)])
-                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([values.tobytes()], pa.binary())],
-                                                 names=[*b.schema.names, "values"])
+            for chunk, sizes, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                data = zstandard.ZstdDecompressor().decompress(packed.as_py(), max_output_size=max(1, sum(sizes)))
+                n = np.array(sizes, np.int64)
+                first, size = np.array([starts[c] for c in _length_class(n).tolist()], np.int64).T
+                even = mix(np.arange(len(n), dtype=_U) + mix(np.array([chunk], _U))) >> _U(40)
+                part = (first + size * (even.astype(float) / 2 ** 24)).astype(np.int64) // PART
+                ends = np.cumsum(n).tolist()
+                for at in range(0, len(n), 1_000):
+                    some = range(at, min(len(n), at + 1_000))
+                    bodies = [b" ".join([*data[ends[i] - sizes[i]:ends[i]].split(), b""]) for i in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part[at:at + 1_000].astype(np.int32)), pa.array([chunk] * len(some), pa.int64()),
+                         pa.array(some, pa.int32()), pa.array(bodies, pa.binary())], names=["part", "chunk", "at", "body"])
 
     return run
 
 
+def _length_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(n + 1.0) * CLASSES).astype(np.int64)
+
+
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of texts (and one more for each) by class of length."""
+    for b in batches:
+        n = b.column(0).flatten().to_numpy()
+        kinds, at = np.unique(_length_class(n), return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(kinds.astype(np.int32)), pa.array(np.bincount(at, weights=n + 1).astype(np.int64))],
+                                         names=["class", "size"])
+
+
+def _read_texts(tables: bytes, start: tuple):
+    """The log10 probabilities of the words of a part's texts, by chunk, with the texts' places there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks, places, bodies = [], [], []
+        for b in batches:
+            chunks.append(b.column(1).to_numpy())
+            places.append(b.column(2).to_numpy())
+            bodies += [x.as_buffer() for x in b.column(3)]  # not copied
+        if not bodies:
+            return
+        values = Reader(Mixer(_unpacked(tables), *start)).log10(bodies)
+        chunk, place = np.concatenate(chunks), np.concatenate(places).astype(np.int64)
+        order = np.argsort(chunk, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunk[some[:1]]), pa.array([READ], pa.int32()), pa.array([place[some].tobytes() + values[some].tobytes()], pa.binary())],
+                names=["chunk", "bucket", "counts"])
+
+    return run
+
+
+def _unpacked(tables: bytes) -> list[np.ndarray]:
+    """Counts (of zeros, of ones) in the slots of each predictor."""
+    at = np.cumsum([0] + [2 << s for s in SIZES])
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(tables, max_output_size=4 * int(at[-1])), np.float32)
+    return [flat[at[i]:at[i + 1]].reshape(2, -1) for i in range(len(SIZES))]
+
+
 def _documents(n: int, v: int, moves: np.ndarray):
     allowed = np.zeros((9, 9))
     allowed[:8, [0, 1, 2, 3, 4, 5, 6, 8]] = 1
@@ -431,10 +582,13 @@ def _documents(n: int, v: int, moves: np.ndarray):
         out = []
         for _, row in left.iterrows():
             right = right.sort_values("bucket")
-            counts = np.concatenate([np.frombuffer(x, np.int64) for x in right["counts"]])
+            counts = np.concatenate([np.frombuffer(x, np.int64) for b, x in zip(right["bucket"], right["counts"]) if b != READ])
+            values = np.full(len(row["sizes"]), np.nan)
+            for x in right["counts"][right["bucket"] == READ]:
+                values[np.frombuffer(x, np.int64, len(x) // 16)] = np.frombuffer(x, float, offset=len(x) // 2)
             bodies, texts, _, _, place = _indexed(row["blob"], row["sizes"])
             logs = np.log10(counts + 1.0) - whole
-            for doc, held, body, t, value in zip(row["doc_ids"], row["held"], bodies, texts, np.frombuffer(row["values"])):
+            for doc, held, body, t, value in zip(row["doc_ids"], row["held"], bodies, texts, values):
                 at = np.append(place[t], place[-1])
                 score = float(value + spaces(body) @ move)
                 out.append((doc, bool(held), len(at), int((counts[at] > 0).sum()), n, float(logs[at].sum()), score,
@@ -445,7 +599,7 @@ def _documents(n: int, v: int, moves: np.ndarray):
     return run
 
 
-CHUNK_ROW = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<long>, blob binary"
+_CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<long>, blob binary"
 _RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
            "score double, bits_per_byte double")
 
@@ -456,7 +610,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     held = F.expr("coalesce(pmod(crc32(cast(cast(doc_id as string) as binary)), 7) = 2, false)")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"),
                         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
-    chunks = cut(texts.mapInArrow(_chunks, CHUNK_ROW), "lm-chunks")
+    chunks = cut(texts.mapInArrow(_chunks, _CHUNK), "lm-chunks")
     buckets = max(4, -(-chunks.count() // CHUNKS_A_BUCKET))
     vocabulary = cut(
         chunks.mapInArrow(_slices(buckets), "bucket int, chunk long, words binary, counts binary, moves binary")
@@ -471,19 +625,25 @@ def score_documents(docs: DataFrame) -> DataFrame:
     flat = np.zeros(sum(2 << s for s in SIZES), np.float32)
     for r in pieces.collect():
         flat[r["piece"] * PIECE:(r["piece"] + 1) * PIECE] = np.frombuffer(r["sums"], np.float32)
-    at = np.cumsum([0] + [2 << s for s in SIZES])
-    tables = [flat[at[i]:at[i + 1]].reshape(2, -1) for i in range(len(SIZES))]
+    tables = zstandard.ZstdCompressor(level=1).compress(flat)
+    del flat
     learned = {r["i"]: r["x"] for r in words.mapInArrow(_learn(tables), "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()}
-    start = Mixer(tables)
+    start = Mixer([])
     if learned:
         x = np.array([learned[i] for i in range(len(learned))])
         na, nb = start.a.size, start.b.size
         start.a, start.b = (x[:na] / x[-1]).reshape(start.a.shape), (x[na:na + nb] / x[-1]).reshape(start.b.shape)
         start.refine = start.refine + x[na + nb:-1].reshape(start.refine.shape)
     replies = vocabulary.select("bucket", "counts", "chunks", "places").mapInArrow(_replies, "chunk long, bucket int, counts binary")
-    read = chunks.mapInArrow(_read_texts(Reader(start)), f"{CHUNK_ROW}, values binary")
+    # At most some hundred classes, whatever the corpus.
+    lengths = (chunks.select("sizes").mapInArrow(_lengths, "class int, size long")
+               .groupBy("class").agg(F.sum("size").alias("size")).collect())
+    starts, end = dealt({r["class"]: r["size"] for r in lengths})
+    read = (chunks.select("chunk", "sizes", "blob").mapInArrow(_deal(starts), "part int, chunk long, at int, body binary")
+            .repartitionById(max(1, -(-end // PART)), "part")
+            .mapInArrow(_read_texts(tables, (start.a, start.b, start.refine)), "chunk long, bucket int, counts binary"))
     moves = np.array([m or 0 for m in sums[2:]], float)
-    return (read.groupBy("chunk").cogroup(replies.groupBy("chunk"))
+    return (chunks.groupBy("chunk").cogroup(replies.unionByName(read).groupBy("chunk"))
             .applyInPandas(_documents(int(sums[0]), int(sums[1]), moves), _RESULT))
 
 

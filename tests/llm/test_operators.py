@@ -365,3 +365,53 @@ def test_lm_updates_its_weights_with_every_bit(spark):
     docs = spark.createDataFrame([(1, "some words to learn from, some other"), (2, "zq xv zq"), (3, "zq zq xv")], "doc_id long, text string")
     score = {r.doc_id: r.score for r in mixing_lm.score_documents(docs).collect()}
     assert score[2] != score[3]  # the same words in another order: the weights differ when they are read
+
+
+def _lm_reader(seed=2):
+    rng = np.random.default_rng(seed)
+    return mixing_lm.Reader(mixing_lm.Mixer([(rng.random((2, 1 << s)) ** 8 * 30).astype(np.float32) for s in mixing_lm.SIZES]))
+
+
+def test_lm_looks_contexts_up_once(monkeypatch):
+    """A word's bytes are looked up once in a window of texts, however often it stands there; windows change no score."""
+    reader, looked = _lm_reader(), []
+    plain = reader._look_up
+    monkeypatch.setattr(reader, "_look_up", lambda prefix, near: looked.append(len(prefix)) or plain(prefix, near))
+    words = [b"one ", b"only ", "été ".encode(), b"on ", b"longerwords "]
+    rng = np.random.default_rng(3)
+    texts_ = [b"".join(words[j] for j in rng.integers(0, 5, n)) for n in (400, 3, 0, 90, 91, 1, 300)]
+    want = reader.log10(texts_)
+    assert sum(looked) == len({w[:i] for w in words for i in range(1, len(w) + 1)})
+    assert want[2] == 0 and (want[[0, 1, 3, 4, 5, 6]] < 0).all()
+    for name, value in (("WINDOW", 7), ("TEXTS", 2), ("MET", 2)):
+        monkeypatch.setattr(mixing_lm, name, value)
+        assert np.allclose(_lm_reader().log10(texts_), want, rtol=1e-12)
+
+
+def test_lm_deals_texts_by_length(monkeypatch):
+    """Each text goes whole to one part; a part has texts of about one length and no more than its bytes."""
+    monkeypatch.setattr(mixing_lm, "PART", 20_000)
+    rng = np.random.default_rng(4)
+    chunks = []
+    for chunk in (0, 1, 2 ** 32, 7 * 2 ** 32 + 5):
+        bodies = [b"ab c\n " * int(n) for n in rng.pareto(1, 200) * 10] + [b"", b" ", b"x" * 999] + [b"same length" * 9] * 500
+        chunks.append({"chunk": chunk, "sizes": [len(x) for x in bodies], "blob": mixing_lm.zstandard.compress(b"".join(bodies)), "bodies": bodies})
+    schema = mixing_lm.pa.schema([("chunk", "int64"), ("sizes", mixing_lm.pa.list_(mixing_lm.pa.int64())), ("blob", mixing_lm.pa.binary())])
+    batches = [mixing_lm.pa.RecordBatch.from_pylist([{k: c[k] for k in schema.names}], schema) for c in chunks]
+    sizes = collections.Counter()
+    for b in mixing_lm._lengths(b.select(["sizes"]) for b in batches):
+        sizes.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+    starts, end = mixing_lm.dealt(sizes)
+    assert end == sum(n + 1 for c in chunks for n in c["sizes"])
+    got = [r for b in mixing_lm._deal(starts)(iter(batches)) for r in b.to_pylist()]
+    want = {(c["chunk"], i): x for c in chunks for i, x in enumerate(c["bodies"])}
+    assert len(got) == len(want) and all(r["body"].split() == want[r["chunk"], r["at"]].split() for r in got)
+    assert all(r["body"] == b"" or r["body"][-1:] == b" " for r in got)
+    parts = collections.defaultdict(list)
+    for r in got:
+        parts[r["part"]].append(len(want[r["chunk"], r["at"]]))
+    assert set(parts) <= set(range(-(-end // 20_000)))
+    for a, b in zip(sorted(parts), sorted(parts)[1:]):
+        assert max(parts[b]) + 1 < (min(parts[a]) + 1) * 2 ** (1 / mixing_lm.CLASSES) + 1
+    assert all(sum(x) < 30_000 or len(x) < 10 for x in parts.values())
+    assert sum(100 in x or 99 in x for x in parts.values()) > 5  # texts of one length are spread
