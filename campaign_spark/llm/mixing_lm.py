@@ -507,9 +507,10 @@ def dealt(sizes: dict[int, int]) -> tuple[dict[int, tuple[int, int]], int]:
 
 
 def _deal(starts: dict[int, tuple[int, int]]):
-    """Texts with the part that reads them: a class of lengths is spread evenly over the bytes it takes up."""
+    """A chunk's texts by the part that reads them: a class of lengths is spread evenly over the bytes it takes up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
         for b in batches:
             for chunk, sizes, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 data = zstandard.ZstdDecompressor().decompress(packed.as_py(), max_output_size=max(1, sum(sizes)))
@@ -517,13 +518,14 @@ def _deal(starts: dict[int, tuple[int, int]]):
                 first, size = np.array([starts[c] for c in _length_class(n).tolist()], np.int64).T
                 even = mix(np.arange(len(n), dtype=_U) + mix(np.array([chunk], _U))) >> _U(40)
                 part = (first + size * (even.astype(float) / 2 ** 24)).astype(np.int64) // PART
-                ends = np.cumsum(n).tolist()
-                for at in range(0, len(n), 1_000):
-                    some = range(at, min(len(n), at + 1_000))
-                    bodies = [b" ".join([*data[ends[i] - sizes[i]:ends[i]].split(), b""]) for i in some]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(part[at:at + 1_000].astype(np.int32)), pa.array([chunk] * len(some), pa.int64()),
-                         pa.array(some, pa.int32()), pa.array(bodies, pa.binary())], names=["part", "chunk", "at", "body"])
+                ends = np.cumsum(n)
+                order = np.argsort(part, kind="stable")
+                for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+                    bodies = [b" ".join([*data[ends[i] - n[i]:ends[i]].split(), b""]) for i in some]
+                    row = [[part[some[0]]], [chunk], [some], [[len(x) for x in bodies]], [pack.compress(b"".join(bodies))]]
+                    kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)],
+                                                     names=["part", "chunk", "places", "sizes", "blob"])
 
     return run
 
@@ -547,17 +549,18 @@ def _read_texts(tables: bytes, start: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, places, bodies = [], [], []
         for b in batches:
-            chunks.append(b.column(1).to_numpy())
-            places.append(b.column(2).to_numpy())
-            bodies += [x.as_buffer() for x in b.column(3)]  # not copied
+            for chunk, at, sizes, packed in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), b.column(4)):
+                data = zstandard.ZstdDecompressor().decompress(packed.as_buffer(), max_output_size=max(1, sum(sizes)))
+                ends = np.cumsum(sizes).tolist()
+                bodies += [memoryview(data)[e - n:e] for e, n in zip(ends, sizes)]
+                chunks.append(chunk)
+                places.append(np.array(at, np.int64))
         if not bodies:
             return
         values = Reader(Mixer(_unpacked(tables), *start)).log10(bodies)
-        chunk, place = np.concatenate(chunks), np.concatenate(places).astype(np.int64)
-        order = np.argsort(chunk, kind="stable")
-        for some in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1):
+        for chunk, at, some in zip(chunks, places, np.split(values, np.cumsum([len(x) for x in places])[:-1])):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk[some[:1]]), pa.array([READ], pa.int32()), pa.array([place[some].tobytes() + values[some].tobytes()], pa.binary())],
+                [pa.array([chunk], pa.int64()), pa.array([READ], pa.int32()), pa.array([at.tobytes() + some.tobytes()], pa.binary())],
                 names=["chunk", "bucket", "counts"])
 
     return run
@@ -639,7 +642,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     lengths = (chunks.select("sizes").mapInArrow(_lengths, "class int, size long")
                .groupBy("class").agg(F.sum("size").alias("size")).collect())
     starts, end = dealt({r["class"]: r["size"] for r in lengths})
-    read = (chunks.select("chunk", "sizes", "blob").mapInArrow(_deal(starts), "part int, chunk long, at int, body binary")
+    read = (chunks.select("chunk", "sizes", "blob").mapInArrow(_deal(starts), "part int, chunk long, places array<long>, sizes array<long>, blob binary")
             .repartitionById(max(1, -(-end // PART)), "part")
             .mapInArrow(_read_texts(tables, (start.a, start.b, start.refine)), "chunk long, bucket int, counts binary"))
     moves = np.array([m or 0 for m in sums[2:]], float)

@@ -403,7 +403,10 @@ def test_lm_deals_texts_by_length(monkeypatch):
         sizes.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
     starts, end = mixing_lm.dealt(sizes)
     assert end == sum(n + 1 for c in chunks for n in c["sizes"])
-    got = [r for b in mixing_lm._deal(starts)(iter(batches)) for r in b.to_pylist()]
+    got = []
+    for r in (r for b in mixing_lm._deal(starts)(iter(batches)) for r in b.to_pylist()):
+        data, ends = mixing_lm.zstandard.decompress(r["blob"], max_output_size=sum(r["sizes"]) + 1), np.cumsum(r["sizes"])
+        got += [{"part": r["part"], "chunk": r["chunk"], "at": i, "body": data[e - n:e]} for i, n, e in zip(r["places"], r["sizes"], ends)]
     want = {(c["chunk"], i): x for c in chunks for i, x in enumerate(c["bodies"])}
     assert len(got) == len(want) and all(r["body"].split() == want[r["chunk"], r["at"]].split() for r in got)
     assert all(r["body"] == b"" or r["body"][-1:] == b" " for r in got)
